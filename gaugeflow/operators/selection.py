@@ -140,7 +140,7 @@ def documented_periods(stations: DataFrame, obs: DataFrame, minimum_years: float
     kept = obs.filter("q IS NOT NULL").join(groups.select("obsid"), "obsid", "left_semi")
     return values_at_ranks(
         kept, ["obsid"], "ts",
-        {"Val_Start": F.lit(0), "Val_End": F.when(first > 0, first - 1),
+        {"Val_Start": F.when(first > 0, F.lit(0)), "Val_End": F.when(first > 0, first - 1),
          "Cal_Start": first, "Cal_End": n - 1}, groups, interpolate=False)
 
 

@@ -70,7 +70,7 @@ def mae_skill_peaks(spark, sf_dir):
 
 
 def monthly_boxes(spark, sf_dir):
-    return rounded(metrics.monthly_boxes(v.pairs_daily(spark, sf_dir), KEY, "s"), "obsid", "month", "n", digits=9)
+    return rounded(metrics.monthly_boxes(v.pairs_daily(spark, sf_dir), KEY, "o"), "obsid", "month", "n")
 
 
 def monthly_split(spark, sf_dir):
@@ -418,10 +418,10 @@ ORACLES = {
     "mae_skill_peaks": _valid(v.PAIRS_DAILY) + f""", {_THRESHOLD}
       select obsid, round(1-avg(abs(s-o)),6) mae_skill from v join t using (obsid)
       where o>threshold group by obsid""",
-    "monthly_boxes": _valid(v.PAIRS_DAILY) + """select obsid, cast(month(ts) as int) as "month", count(s) n,
-      round(min(s),9) low, round(max(s),9) high, round(avg(s),9) mean,
-      round(quantile_cont(s,0.25),9) q1, round(quantile_cont(s,0.5),9) median,
-      round(quantile_cont(s,0.75),9) q3 from v group by 1, 2""",
+    "monthly_boxes": _valid(v.PAIRS_DAILY) + """select obsid, cast(month(ts) as int) as "month", count(o) n,
+      round(min(o),6) low, round(max(o),6) high, round(avg(o),6) mean,
+      round(quantile_cont(o,0.25),6) q1, round(quantile_cont(o,0.5),6) median,
+      round(quantile_cont(o,0.75),6) q3 from v group by 1, 2""",
     "monthly_split": _valid(v.SERIES_6H) + """select obsid, cast(month(ts) as int) as "month", count(s) n,
       round(sum(s),6) sum_s, round(sum(o),6) sum_o from v group by 1, 2""",
     "long_run_scores": f"""with v as (select obsid, s, o-10 o from ({v.PAIRS_DAILY}) where o-10>=0)
@@ -477,5 +477,6 @@ ORACLES = {
     "performance_diagram": _scores({
         "success_ratio": f"1-{_SCORE_SQL['FAR']}", "hit_rate": _SCORE_SQL["HR"],
         "bias": _SCORE_SQL["B"], "threat_score": _SCORE_SQL["TS"]}),
-    "step_hours_of_types": f"select obsid, case when contains(CAL_TYPE,'_6h') then 6 else 24 end as "hours" from ({v.STATIONS})",
+    "step_hours_of_types": f"""select obsid, case when contains(CAL_TYPE,'_6h') then 6 else 24 end as "hours"
+      from ({v.STATIONS})""",
 }
