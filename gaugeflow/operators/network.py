@@ -179,30 +179,49 @@ def allocate_workers(groups: DataFrame, workers: int) -> DataFrame:
                          F.when(worker <= workers, worker).cast("long").alias("worker"))
 
 
-def thin_stations(tree: DataFrame, area: str, max_share: float) -> DataFrame:
-    """Stations with ``keep``: walking downstream, a station whose area is within ``max_share``
-    of the last kept one is dropped. At a confluence the largest kept station upstream counts.
-
-    One round per dependency wave; a round only aggregates the stations of that wave.
+def _main_stems(tree: DataFrame, area: str) -> DataFrame:
+    """(id, up, up_area): link to the next station for the largest station upstream of each one."""
+    facts = tree.select("obsid", "parent", F.col(area).cast("double").alias("_area"))
+    largest = (facts.filter("parent IS NOT NULL").groupBy("parent")
+               .agg(F.max(F.struct(F.col("_area"), (-F.col("obsid")).alias("_id"))).alias("_top")))
+    links = largest.select((-F.col("_top._id")).alias("id"), F.col("parent").alias("up"))
+    return links.join(facts.select(F.col("obsid").alias("up"), F.col("_area").alias("up_area")), "up")
+
+
+def thin_stations(tree: DataFrame, area: str, max_share: float, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(obsid, keep): walking downstream, a station within ``max_share`` of the last kept area is
+    dropped.
+
+    ``area`` is the drainage area, which adds up at confluences, so only the largest river above
+    a station can come that close. Each main stem starts with a kept station; the next kept one is
+    the first beyond the tolerance. Both the first-beyond search and the walk over kept stations
+    double their steps, so the rounds are logarithmic in the length of a stem.
     """
-    facts = tree.select("obsid", "parent", "wave", F.col(area).cast("double").alias("_area"))
-    last_wave = facts.agg(F.max("wave")).first()[0]
-    if last_wave is None:
-        return facts.select("obsid", F.lit(True).alias("keep"))
-    facts = settle(facts)
-    inflow = facts.filter(F.lit(False)).select("obsid", F.col("_area").alias("_kept_area"))
-    decided = None
-    for wave in range(last_wave + 1):
-        here = facts.filter(F.col("wave") == wave).join(
-            inflow.groupBy("obsid").agg(F.max("_kept_area").alias("_kept_area")), "obsid", "left")
-        keep = F.col("_kept_area").isNull() | (
-            F.col("_area") > F.lit(1 + max_share) * F.col("_kept_area"))
-        here = settle(here.select("obsid", "parent", keep.alias("keep"),
-                                  F.when(keep, F.col("_area")).otherwise(F.col("_kept_area")).alias("_area")))
-        passed = here.filter("parent IS NOT NULL").select(
-            F.col("parent").alias("obsid"), F.col("_area").alias("_kept_area"))
-        waiting = inflow.join(here, "obsid", "left_anti").unionByName(passed)
-        inflow = settle(waiting.groupBy("obsid").agg(F.max("_kept_area").alias("_kept_area")))
-        kept = here.select("obsid", "keep")
-        decided = kept if decided is None else decided.unionByName(kept)
-    return decided
+    facts = settle(tree.select(F.col("obsid").alias("id"), F.col(area).cast("double").alias("area")))
+    levels = [settle(_main_stems(tree, area))]
+    while not levels[-1].isEmpty():
+        half = levels[-1]
+        ahead = half.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("up_area").alias("_area"))
+        levels.append(settle(half.select("id", "up").join(ahead, "up").select(
+            "id", F.col("_up").alias("up"), F.col("_area").alias("up_area"))))
+
+    limit = F.col("area") * F.lit(1 + max_share)
+    place = facts.select("id", limit.alias("limit"), F.col("id").alias("at"))
+    for level in reversed(levels):
+        ahead = level.select(F.col("id").alias("at"), F.col("up").alias("_up"), F.col("up_area").alias("_area"))
+        within = F.col("_area") <= F.col("limit")
+        place = settle(salted_join(place, ahead, ["at"], "left", hot_rows).select(
+            "id", "limit", F.when(within, F.col("_up")).otherwise(F.col("at")).alias("at")))
+    beyond = levels[0].select(F.col("id").alias("at"), F.col("up").alias("next"))
+    step = settle(salted_join(place, beyond, ["at"], "inner", hot_rows).select("id", "next"))
+
+    kept = settle(facts.join(levels[0].select(F.col("up").alias("id")), "id", "left_anti").select("id"))
+    while not step.isEmpty():
+        reached = step.join(kept, "id", "left_semi").select(F.col("next").alias("id"))
+        kept = settle(kept.unionByName(reached).distinct())
+        ahead = step.select(F.col("id").alias("next"), F.col("next").alias("_next"))
+        step = settle(salted_join(step, ahead, ["next"], "inner", hot_rows).select(
+            "id", F.col("_next").alias("next")))
+    marks = kept.withColumn("_kept", F.lit(True))
+    return facts.select("id").join(marks, "id", "left").select(
+        F.col("id").alias("obsid"), F.coalesce("_kept", F.lit(False)).alias("keep"))

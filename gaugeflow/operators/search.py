@@ -67,6 +67,10 @@ class Ranges:
     def unscale(self, x: Column) -> Column:
         return F.zip_with(x, self._widths(), lambda v, r: r["a"] + v * r["w"])
 
+    def perturbed(self, x: Column, tolerance: float) -> Column:
+        """Unscaled genes moved by a relative tolerance: the truth of a synthetic test."""
+        return F.transform(self.unscale(x), lambda p: p * F.lit(1 + tolerance))
+
     def scale(self, params: Column) -> Column:
         return F.zip_with(params, self._widths(), lambda v, r: F.try_divide(v - r["a"], r["w"]))
 
@@ -87,12 +91,6 @@ def initial_population(stations: DataFrame, n_params: int, pop: int, seed: int)
                     .alias("x")))
 
 
-def perturbed(ranges: Ranges, target: list[float], tolerance: float) -> list[float]:
-    """Unscaled target moved by a relative tolerance: the truth of the synthetic test."""
-    return [(a + t * (b - a)) * (1 + tolerance)
-            for t, a, b in zip(target, ranges.low, ranges.high)]
-
-
 def vary(parents: DataFrame, gen: int, settings: SearchSettings, n_params: int) -> DataFrame:
     """``lam`` children per station by blend crossover, Gaussian mutation or copying.
 

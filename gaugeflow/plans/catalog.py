@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from gaugeflow.plans import runs, station_choice, verification
+from gaugeflow.plans import runs, station_choice, topology, verification
 
-MODULES = (verification, station_choice, runs)
+MODULES = (verification, station_choice, runs, topology)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
