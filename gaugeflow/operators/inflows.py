@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.skew import attach
+from gaugeflow.operators.network import link_slots
 
 
 def gather_inflows(links: DataFrame, sim: DataFrame) -> DataFrame:
@@ -29,8 +30,9 @@ def inflow_flags(stations: DataFrame, links: DataFrame) -> DataFrame:
         "obsid", n.alias("n_inflows"), F.when(n > 0, "1").otherwise("0").alias("inflow_flag"))
 
 
-def inflows_wide(inflows: DataFrame, order: str = "step", slots: int = 20) -> DataFrame:
+def inflows_wide(inflows: DataFrame, order: str = "step", slots: int | None = None) -> DataFrame:
     """A row per station and step with one column per inlet."""
+    slots = slots or link_slots(inflows)
     wide = inflows.groupBy("obsid", order).pivot("inlet_no", list(range(1, slots + 1)))
     table = wide.agg(F.first("q"))
     return table.select("obsid", order, *[F.col(str(i)).alias(f"q_{i}") for i in range(1, slots + 1)])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The lines of a job log.
 REAL_TIME = r"real\t(\d+)m(\d+)\."
-FIRST_GENERATION = r"(?s)(?:^|\n)Starting calibration\n.*?(?:^|\n)Generation (\d{1,3})"
+FIRST_GENERATION = r"(?ms)^Starting calibration$.*?^Generation (\d{1,3})"
 DRAINING_AREA = r"(?:^|\n)DrainingArea\.km2\.LDD {10}\s*([^\n]+)"
 INFLOWS = r"(?:^|\n)Found ([^\n]*?) ?inflows\n"
 ENDING = (r"(?:(?:^|\n)>> gen: (\d+), effmax_KGE: ([^\n]*))?"

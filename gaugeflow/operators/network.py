@@ -16,6 +16,7 @@ from gaugeflow.functions.skew import HOT_ROWS, attach, running_total, salted_joi
 from gaugeflow.session import settle
 
 NO_STATION = -1  # fixed value: region of cells without a station downstream
+LINK_SLOTS = 20  # fixed value: columns of the wide link table
 MAX_ROUNDS = 62  # doubling passes any acyclic path of a 64-bit cell count by then
 
 
@@ -113,8 +114,14 @@ def direct_links(parents: DataFrame) -> DataFrame:
         "obsid", "inlet_no", "upstream_id")
 
 
-def links_wide(links: DataFrame, slots: int = 20) -> DataFrame:
-    """A row per station with its upstream ids in ``slots`` columns."""
+def link_slots(links: DataFrame) -> int:
+    """Columns of the wide form: the usual number, or more when a station has more inlets."""
+    return max(LINK_SLOTS, links.agg(F.max("inlet_no")).first()[0] or 0)
+
+
+def links_wide(links: DataFrame, slots: int | None = None) -> DataFrame:
+    """A row per station with its upstream ids in numbered columns."""
+    slots = slots or link_slots(links)
     return links.groupBy("obsid").pivot("inlet_no", list(range(1, slots + 1))).agg(F.first("upstream_id"))
 
 

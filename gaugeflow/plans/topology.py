@@ -12,6 +12,7 @@ from gaugeflow.plans.views import day, rounded
 from gaugeflow.session import settle
 
 WORKERS = 4
+WIDE_SLOTS = 12
 MAX_SHARE = 0.1
 
 
@@ -59,9 +60,8 @@ def direct_links(spark, sf_dir):
 
 def links_wide(spark, sf_dir):
     """The wide link table, unfolded again by slot."""
-    wide = network.links_wide(network.direct_links(_parents(spark, sf_dir)[1]))
-    slots = [str(i) for i in range(1, 21)]
-    return wide.unpivot(["obsid"], slots, "slot", "upstream_id").select(
+    wide = network.links_wide(settle(network.direct_links(_parents(spark, sf_dir)[1])))
+    return wide.unpivot(["obsid"], [c for c in wide.columns if c != "obsid"], "slot", "upstream_id").select(
         "obsid", F.col("slot").cast("int").alias("slot"), "upstream_id").filter("upstream_id IS NOT NULL")
 
 
@@ -106,8 +106,8 @@ def upstream_inflows(spark, sf_dir):
 def upstream_inflows_wide(spark, sf_dir):
     links = network.direct_links(_parents(spark, sf_dir)[1])
     gathered = inflows.gather_inflows(settle(links), _simulated(spark, sf_dir))
-    wide = inflows.inflows_wide(gathered, "ts", 3)
-    return rounded(wide.select("obsid", day(), "q_1", "q_2", "q_3"), "obsid", "ts")
+    wide = inflows.inflows_wide(gathered, "ts", WIDE_SLOTS)
+    return rounded(wide.select("obsid", day(), *[f"q_{i}" for i in range(1, WIDE_SLOTS + 1)]), "obsid", "ts")
 
 
 def missing_upstream(spark, sf_dir):
@@ -302,7 +302,7 @@ ORACLES = {
       left join hits h on h.origin=net.cell group by 1""",
     "station_tree": f"{_WALK} select * from tree",
     "direct_links": f"{_WALK} select * from links",
-    "links_wide": f"{_WALK} select obsid, cast(inlet_no as int) slot, upstream_id from links where inlet_no<=20",
+    "links_wide": f"{_WALK} select obsid, cast(inlet_no as int) slot, upstream_id from links",
     "nested_groups": f"{_WALK} select obsid, group_id from grp",
     "group_areas": f"{_WALK} select group_id, cast(sum(upstream_cells) as bigint) area from grp group by 1",
     "worker_allocation": f"""{_WALK}, ar as (select group_id, sum(upstream_cells)::double area from grp group by 1),
@@ -315,8 +315,7 @@ ORACLES = {
     "upstream_inflows": f"""{_WALK} select l.obsid, inlet_no, upstream_id, strftime(ts,'%Y-%m-%d %H:%M') ts,
       round(q,6) q from links l join ({_SIM}) s on s.obsid=l.upstream_id""",
     "upstream_inflows_wide": f"""{_WALK} select l.obsid, strftime(ts,'%Y-%m-%d %H:%M') ts,
-      round(max(case when inlet_no=1 then q end),6) q_1, round(max(case when inlet_no=2 then q end),6) q_2,
-      round(max(case when inlet_no=3 then q end),6) q_3
+      {', '.join(f"round(max(case when inlet_no={i} then q end),6) q_{i}" for i in range(1, WIDE_SLOTS + 1))}
       from links l join ({_SIM}) s on s.obsid=l.upstream_id group by 1, 2""",
     "missing_upstream": f"{_WALK} select * from links where upstream_id not in (select obsid from ({_SIM}))",
     "inflow_flags": f"""{_WALK} select par.obsid, count(l.inlet_no) n_inflows,
