@@ -21,6 +21,8 @@ HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
 SALTS = 64
 GROUP_ROWS = 2_000_000
+GRID_STEPS = 200  # quantiles kept per group by the sketch
+SKETCH_FINENESS = 20  # sketch ranks are this much finer than the grid
 
 
 def attach(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner",
@@ -122,40 +124,111 @@ def running_total(df: DataFrame, keys: list[str], order: list[Column], name: str
     )
 
 
+def _pick(rank: Column, at, out: str, interpolate: bool) -> tuple[list[Column], Column, Column]:
+    """Aggregates that fetch the values around a rank, the result, and whether one was not found."""
+    low = F.floor(rank)
+    picks = [at(low).alias(f"_low_{out}"), F.max(low).alias(f"_at_{out}")]
+    low_v, missed = F.col(f"_low_{out}"), F.col(f"_low_{out}").isNull() & F.col(f"_at_{out}").isNotNull()
+    if not interpolate:
+        return picks, low_v.alias(out), missed
+    picks += [at(low + 1).alias(f"_high_{out}"), F.max(rank - low).alias(f"_part_{out}")]
+    part, high_v = F.col(f"_part_{out}"), F.col(f"_high_{out}")
+    value = low_v + F.when(part > 0, part * (high_v - low_v)).otherwise(F.lit(0.0))
+    return picks, value.alias(out), missed | ((part > 0) & high_v.isNull())
+
+
 def values_at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Column],
                     groups: DataFrame | None = None, interpolate: bool = True,
                     group_rows: int = GROUP_ROWS) -> DataFrame:
     """Exact order statistics per group.
 
     ``ranks`` maps an output column to a 0-based, possibly fractional rank, written over the
-    columns of ``groups`` (one row per group; only ``n``, the number of values, when not given).
-    Equal values are counted first, so a value that fills a third of a group is one row.
+    columns of ``groups`` (one row per group with its size ``n``, and only ``n`` when not given).
+    ``df`` is scanned more than once, so a derived table is settled by the caller. Groups within
+    ``group_rows`` are ranked by a window; larger ones are narrowed by a sketch first.
     """
+    base = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    sizes = settle(base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    groups = sizes if groups is None else groups
+    wanted = settle(groups.select(
+        *keys, "n", *[rank.cast("double").alias(f"_rank_{out}") for out, rank in ranks.items()]))
+    if (sizes.agg(F.max("n")).first()[0] or 0) > group_rows:
+        return _narrowed(base, keys, list(ranks), wanted, interpolate, group_rows, sketched=True)
+
+    order = Window.partitionBy(*keys).orderBy("_v")
+    placed = attach(base, wanted, keys).withColumn("_i", F.row_number().over(order) - 1)
+
+    def at(position: Column) -> Column:
+        return F.max(F.when(F.col("_i") == position, F.col("_v")))
+
+    parts = [_pick(F.col(f"_rank_{out}"), at, out, interpolate) for out in ranks]
+    return (placed.groupBy(*keys).agg(*[c for picks, _, _ in parts for c in picks])
+            .select(*keys, *[result for _, result, _ in parts]))
+
+
+def _brackets(base: DataFrame, keys: list[str], outs: list[str], wanted: DataFrame,
+              sketched: bool) -> DataFrame:
+    """A value range that should hold each wanted rank; a NULL end is open.
+
+    The range comes from a quantile sketch, one grid step wider than the rank on both sides.
+    """
+    if not sketched:
+        kind = base.schema["_v"].dataType
+        return wanted.withColumns({f"_{end}_{out}": F.lit(None).cast(kind)
+                                   for out in outs for end in ("from", "to")})
+    grid = [i / GRID_STEPS for i in range(GRID_STEPS + 1)]
+    sketch = base.groupBy(*keys).agg(
+        F.percentile_approx("_v", grid, GRID_STEPS * SKETCH_FINENESS).alias("_grid"))
+    per_step = F.col("n") / GRID_STEPS
+    ends = {}
+    for out in outs:
+        low = F.floor(F.col(f"_rank_{out}"))
+        first = F.floor(low / per_step).cast("int") - 1
+        last = F.ceil((low + 2) / per_step).cast("int") + 1
+        ends[f"_from_{out}"] = F.when(first > 0, F.get("_grid", first))
+        ends[f"_to_{out}"] = F.when(last < GRID_STEPS, F.get("_grid", last))
+    return wanted.join(sketch, keys).withColumns(ends).drop("_grid")
+
+
+def _narrowed(base: DataFrame, keys: list[str], outs: list[str], wanted: DataFrame, interpolate: bool,
+              group_rows: int, sketched: bool) -> DataFrame:
+    """Order statistics in two scans, without sorting or shuffling whole groups.
+
+    The first scan brackets each wanted rank. The second one counts the values inside the
+    brackets by value, and the rest of a group as a single row. Only values inside the brackets
+    are put in order. A group whose bracket missed its rank is done again with open brackets.
+    """
+    brackets = settle(_brackets(base, keys, outs, wanted, sketched))
+    v = F.col("_v")
+
+    def inside(out: str) -> Column:
+        low, high = F.col(f"_from_{out}"), F.col(f"_to_{out}")
+        return (F.col(f"_rank_{out}").isNotNull()
+                & (low.isNull() | (v >= low)) & (high.isNull() | (v <= high)))
+
+    candidate = reduce(lambda x, y: x | y, [inside(out) for out in outs])
     counted = settle(
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
-    )
-    if groups is None:
-        groups = counted.groupBy(*keys).agg(F.sum("_w").alias("n"))
-    wanted = groups.select(
-        *keys, *[rank.cast("double").alias(f"_rank_{out}") for out, rank in ranks.items()])
-    ordered = running_total(counted, keys, [F.col("_v")], "_upto", "_w", group_rows)
-    placed = attach_stats(ordered, wanted, keys)
-
-    def at(rank: Column) -> Column:
-        here = (rank >= F.col("_upto") - F.col("_w")) & (rank < F.col("_upto"))
-        return F.max(F.when(here, F.col("_v")))
-
-    picks, outs = [], []
-    for out in ranks:
-        rank = F.col(f"_rank_{out}")
-        low = F.floor(rank)
-        picks.append(at(low).alias(f"_low_{out}"))
-        if not interpolate:
-            outs.append(F.col(f"_low_{out}").alias(out))
-            continue
-        picks += [at(low + 1).alias(f"_high_{out}"), F.max(rank - low).alias(f"_part_{out}")]
-        low_v = F.col(f"_low_{out}")
-        outs.append((low_v + F.when(F.col(f"_part_{out}") > 0, F.col(f"_part_{out}")
-                     * (F.col(f"_high_{out}") - low_v)).otherwise(F.lit(0.0))).alias(out))
-    return placed.groupBy(*keys).agg(*picks).select(*keys, *outs)
+        attach(base, brackets, keys)
+        .groupBy(*keys, F.when(candidate, v).alias("_c")).agg(
+            F.count(F.lit(1)).alias("_w"),
+            *[F.count_if(v < F.col(f"_from_{out}")).alias(f"_below_{out}") for out in outs]))
+    outside = counted.filter("_c IS NULL").select(*keys, *[f"_below_{out}" for out in outs])
+    inner = counted.filter("_c IS NOT NULL").select(*keys, F.col("_c").alias("_v"), "_w")
+    ordered = running_total(inner, keys, [F.asc("_v")], "_upto", "_w", group_rows)
+    placed = attach(ordered, settle(brackets.join(outside, keys, "left")), keys)
+
+    def at_in(out: str):
+        last = F.col("_upto") + F.coalesce(f"_below_{out}", F.lit(0))
+        return lambda i: F.max(F.when((i >= last - F.col("_w")) & (i < last) & inside(out), v))
+
+    parts = [_pick(F.col(f"_rank_{out}"), at_in(out), out, interpolate) for out in outs]
+    missed = reduce(lambda x, y: x | y, [miss for _, _, miss in parts])
+    found = settle(placed.groupBy(*keys).agg(*[c for picks, _, _ in parts for c in picks])
+                   .withColumn("_missed", missed))
+    again = found.filter("_missed").select(*keys)
+    results = [result for _, result, _ in parts]
+    if not sketched or again.isEmpty():
+        return found.select(*keys, *results)
+    rest = _narrowed(base.join(again, keys, "left_semi"), keys, outs,
+                     wanted.join(again, keys, "left_semi"), interpolate, group_rows, sketched=False)
+    return found.filter("NOT _missed").select(*keys, *results).unionByName(rest)

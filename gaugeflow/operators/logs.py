@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 # The lines of a job log.
 REAL_TIME = r"real\t(\d+)m(\d+)\."
 FIRST_GENERATION = r"(?ms)^Starting calibration$.*?^Generation (\d{1,3})"
-DRAINING_AREA = r"(?:^|\n)DrainingArea\.km2\.LDD {10}\s*([^\n]+)"
-INFLOWS = r"(?:^|\n)Found ([^\n]*?) ?inflows\n"
-ENDING = (r"(?:(?:^|\n)>> gen: (\d+), effmax_KGE: ([^\n]*))?"
-          r"((?:(?:^|\n)>> Termination criterion [^\n]*)*)"
-          r"(?:^|\n)Done generation (\d+)\n>> Time elapsed: ([0-9.]+) s")
+DRAINING_AREA = r"(?m)^DrainingArea\.km2\.LDD {10}\s*([^\n]+)"
+INFLOWS = r"(?m)^Found ([^\n]*?) ?inflows$"
+TIME_ELAPSED = "\n>> Time elapsed: "
+DONE = r"Done generation (\d+)$"
+LAST_GEN = r">> gen: (\d+), effmax_KGE: ([^\n]*)\n(?:>> Termination criterion [^\n]*\n)+Done generation "
 LAST_GENERATION = ">> Termination criterion maxGen fulfilled."
 NO_IMPROVEMENT = ">> Termination criterion no-improvement KGE fulfilled."
 
@@ -21,31 +21,41 @@ def _blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def _seconds(text: Column, position: int) -> Column:
+def _seconds(times: Column, position: int) -> Column:
     """The position-th wall time of an error log, in whole seconds."""
-    minutes = F.get(F.regexp_extract_all(text, F.lit(REAL_TIME), F.lit(1)), F.lit(position))
-    seconds = F.get(F.regexp_extract_all(text, F.lit(REAL_TIME), F.lit(2)), F.lit(position))
-    return minutes.cast("long") * 60 + seconds.cast("long")
+    line = F.get(times, F.lit(position))
+    return (F.regexp_extract(line, REAL_TIME, 1).cast("long") * 60
+            + F.regexp_extract(line, REAL_TIME, 2).cast("long"))
 
 
 def job_table(logs: DataFrame) -> DataFrame:
-    """One row per job from ``(catchment, job, err, out)`` texts; what a log lacks is NULL."""
+    """One row per job from ``(catchment, job, err, out)`` texts; what a log lacks is NULL.
+
+    The end of a log is cut out once by plain text search; patterns only see those few lines.
+    """
+    head = F.substring_index("out", TIME_ELAPSED, 1)
+    rest = F.substring(F.col("out"), F.length(head) + F.lit(len(TIME_ELAPSED) + 1), F.lit(40))
+    parts = logs.select(
+        "catchment", "job", "out", F.regexp_extract_all("err", F.lit(REAL_TIME), F.lit(0)).alias("times"),
+        (F.length(head) < F.length("out")).alias("finished"),
+        F.substring_index(head, "\n", -4).alias("tail"),
+        F.substring_index(rest, " ", 1).alias("elapsed"))
+    finished, tail = F.col("finished"), F.col("tail")
+    done = F.regexp_extract(tail, DONE, 1)
+    max_gen = F.contains(tail, F.lit(LAST_GENERATION))
+    stalled = F.contains(tail, F.lit(NO_IMPROVEMENT))
+    shown = F.regexp_extract(tail, LAST_GEN, 1)
+    kge = F.when((shown != "") & (shown == done), F.regexp_extract(tail, LAST_GEN, 2))
     out = F.col("out")
-    ending = {name: F.regexp_extract(out, ENDING, i)
-              for i, name in enumerate(["gen", "kge", "stops", "done", "elapsed"], start=1)}
-    finished = ending["elapsed"] != ""
-    max_gen = F.contains(ending["stops"], F.lit(LAST_GENERATION))
-    stalled = F.contains(ending["stops"], F.lit(NO_IMPROVEMENT))
-    kge = F.when((max_gen | stalled) & (ending["gen"] == ending["done"]), ending["kge"])
-    return logs.select(
+    return parts.select(
         "catchment", "job",
-        _seconds(F.col("err"), 0).alias("calib_sec"), _seconds(F.col("err"), 1).alias("longrun_sec"),
+        _seconds(F.col("times"), 0).alias("calib_sec"), _seconds(F.col("times"), 1).alias("longrun_sec"),
         _blank_to_null(F.regexp_extract(out, DRAINING_AREA, 1)).alias("draining_area"),
         _blank_to_null(F.regexp_extract(out, INFLOWS, 1)).cast("long").alias("inflows"),
         F.when(finished, F.coalesce(_blank_to_null(F.regexp_extract(out, FIRST_GENERATION, 1))
                                     .cast("long"), F.lit(-1))).alias("first_gen"),
-        F.when(finished, ending["elapsed"].cast("double")).alias("elapsed_sec"),
-        F.when(finished, ending["done"].cast("long")).alias("last_gen"),
+        F.when(finished, F.col("elapsed").cast("double")).alias("elapsed_sec"),
+        F.when(finished, _blank_to_null(done).cast("long")).alias("last_gen"),
         F.when(finished & max_gen & stalled, F.lit("maxGen AND no-improvement"))
         .when(finished & stalled, F.lit("no-improvement"))
         .when(finished & max_gen, F.lit("maxGen")).alias("termination"),

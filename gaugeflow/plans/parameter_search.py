@@ -114,29 +114,39 @@ def search_fronts(spark, sf_dir):
     return rounded(state.fronts, "obsid", "gen")
 
 
+GOALS = {"near_low": 0.2, "near_high": 0.8}
+OBJECTIVES = list(GOALS)
+
+
 def _rated(spark, sf_dir):
-    """Orders of a customer as a bounded population with two objectives."""
-    orders = v.table(spark, sf_dir, "orders")
-    return orders.select(F.col("o_custkey").alias("obsid"), F.col("o_orderkey").alias("run"),
-                         F.col("o_totalprice").alias("price"),
-                         (-F.datediff("o_orderdate", F.lit("1990-01-01"))).cast("double").alias("age"))
+    """The first population of every station with two competing objectives."""
+    people = _first(spark, sf_dir)[1]
+    rated = people
+    for name, target in GOALS.items():
+        rated = rated.join(analytic_model(target, name)(people), ["obsid", "run"])
+    return settle(rated)
 
 
 def front_numbers(spark, sf_dir):
-    return h.front_numbers(_rated(spark, sf_dir), ["obsid"], ["price", "age"], "run").select(
+    return h.front_numbers(_rated(spark, sf_dir), ["obsid"], OBJECTIVES, "run").select(
         "obsid", "run", F.col("front").cast("long").alias("front"))
 
 
 def crowding_distances(spark, sf_dir):
-    ranked = settle(h.front_numbers(_rated(spark, sf_dir), ["obsid"], ["price", "age"], "run"))
-    far = h.crowding(ranked, ["obsid"], ["price", "age"], "run")
+    ranked = settle(h.front_numbers(_rated(spark, sf_dir), ["obsid"], OBJECTIVES, "run"))
+    far = h.crowding(ranked, ["obsid"], OBJECTIVES, "run")
     finite = F.when(F.col("distance") < 1e300, F.col("distance"))
     return rounded(far.select("obsid", "run", finite.alias("distance")), "obsid", "run")
 
 
+def survivors_two_objectives(spark, sf_dir):
+    kept = h.select_survivors(_rated(spark, sf_dir), ["obsid"], OBJECTIVES, MU, "run")
+    return rounded(kept.select("obsid", "run", *OBJECTIVES), "obsid", "run")
+
+
 QUERIES = {f.__name__: f for f in (
     initial_population, rescaled_genes, survivors, children, series_evaluation, search_fronts,
-    front_numbers, crowding_distances)}
+    front_numbers, crowding_distances, survivors_two_objectives)}
 
 
 # --- reference SQL ------------------------------------------------------------------------
@@ -176,14 +186,16 @@ _CORR = "covar_pop(o,s)/nullif(stddev_pop(o)*stddev_pop(s),0)"
 _BIAS = "avg(s)/nullif(avg(o),0)"
 _SPREAD = "(stddev_pop(s)/nullif(avg(s),0))/nullif(stddev_pop(o)/nullif(avg(o),0),0)"
 _KGE = f"(1-sqrt(power({_CORR}-1,2)+power({_BIAS}-1,2)+power({_SPREAD}-1,2)))"
-_RATED = """o as (select o_custkey obsid, o_orderkey run, o_totalprice price,
-    -date_diff('day', date '1990-01-01', cast(o_orderdate as date))::double age from orders),
-  dom as (select a.run better, b.run worse from o a join o b on a.obsid=b.obsid
-    and a.price>=b.price and a.age>=b.age and (a.price>b.price or a.age>b.age)),
-  chain as (select run, 0 depth from o union
-    select worse, depth+1 from chain join dom on better=chain.run),
-  fr as (select run, max(depth) front from chain group by 1),
-  ranked as (select o.*, cast(front as bigint) front from o join fr using (run))"""
+_RATED = f"""{_PEOPLE},
+  o as (select obsid, run, 1-sqrt(sum((x-0.2::double)*(x-0.2::double))/count(*)) near_low,
+      1-sqrt(sum((x-0.8::double)*(x-0.8::double))/count(*)) near_high from ppl group by 1, 2),
+  dom as (select a.obsid, a.run better, b.run worse from o a join o b on a.obsid=b.obsid
+    and a.near_low>=b.near_low and a.near_high>=b.near_high
+    and (a.near_low>b.near_low or a.near_high>b.near_high)),
+  chain as (select obsid, run, 0 depth from o union
+    select dom.obsid, worse, depth+1 from chain join dom on dom.obsid=chain.obsid and better=chain.run),
+  fr as (select obsid, run, max(depth) front from chain group by 1, 2),
+  ranked as (select o.*, cast(front as bigint) front from o join fr using (obsid, run))"""
 
 
 def _gap(value: str) -> str:
@@ -209,6 +221,12 @@ ORACLES = {
       select obsid, run, round(greatest(coalesce({_KGE},-100.0),-100.0),6) kge, round({_CORR},6) corr,
         round({_BIAS},6) bias, round({_SPREAD},6) spread, round(sum(abs(s-o)),6) sae from v group by 1, 2""",
     "front_numbers": f"with recursive {_RATED} select obsid, run, front from ranked",
-    "crowding_distances": f"""with recursive {_RATED}, d as (select obsid, run, {_gap('price')} a, {_gap('age')} b
-      from ranked) select obsid, run, round(a+b,6) distance from d""",
+    "crowding_distances": f"""with recursive {_RATED},
+      d as (select obsid, run, {_gap('near_low')} a, {_gap('near_high')} b from ranked)
+      select obsid, run, round(a+b,6) distance from d""",
+    "survivors_two_objectives": f"""with recursive {_RATED},
+      d as (select *, {_gap('near_low')} a, {_gap('near_high')} b from ranked),
+      k as (select *, row_number() over (partition by obsid
+        order by front, coalesce(a+b, 1e300::double) desc, run) k from d)
+      select obsid, run, round(near_low,6) near_low, round(near_high,6) near_high from k where k<={MU}""",
 }

@@ -10,6 +10,7 @@ from gaugeflow.functions.values import coordinates_text, non_negative, padded_id
 from gaugeflow.operators import selection
 from gaugeflow.plans import views as v
 from gaugeflow.plans.views import FORCING, day, rounded
+from gaugeflow.session import settle
 
 MIN_TYPE = 1
 SHORT_YEARS, LONG_YEARS = 1.15, 1.3  # the records of the tables are short
@@ -39,7 +40,7 @@ def windowed_observations(spark, sf_dir):
 
 def _sliced(spark, sf_dir):
     windowed = selection.observation_windows(v.stations(spark, sf_dir), FORCING)
-    return selection.in_window(v.observations(spark, sf_dir), windowed)
+    return settle(selection.in_window(v.observations(spark, sf_dir), windowed))
 
 
 def trimmed_observations(spark, sf_dir):
@@ -64,7 +65,7 @@ def documented_periods(spark, sf_dir):
 
 def _records(spark, sf_dir):
     return selection.station_records(
-        v.stations(spark, sf_dir), v.observations(spark, sf_dir), FORCING, strict=False)
+        v.stations(spark, sf_dir), settle(v.observations(spark, sf_dir)), FORCING, strict=False)
 
 
 def station_records(spark, sf_dir):

@@ -9,6 +9,7 @@ from gaugeflow.functions.values import step_hours
 from gaugeflow.operators import alignment, events, extremes, metrics
 from gaugeflow.plans import views as v
 from gaugeflow.plans.views import rounded
+from gaugeflow.session import settle
 
 KEY = ["obsid"]
 RUN_KEY = ["obsid", "run"]
@@ -17,6 +18,11 @@ LOG_WEIGHT = 0.4
 LABELS = list(extremes.RETURN_YEARS)
 
 
+def _stored(spark, sf_dir):
+    """Daily pairs as a stored table, for queries that read them more than once."""
+    return settle(v.pairs_daily(spark, sf_dir))
+
+
 def _pairs_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.series_6h(spark, sf_dir)
 
@@ -38,7 +44,7 @@ def goodness_of_fit_gaps(spark, sf_dir):
 
 
 def index_of_agreement(spark, sf_dir):
-    return rounded(metrics.index_of_agreement(v.pairs_daily(spark, sf_dir), KEY), *KEY)
+    return rounded(metrics.index_of_agreement(_stored(spark, sf_dir), KEY), *KEY)
 
 
 def objectives_by_run(spark, sf_dir):
@@ -54,11 +60,11 @@ def low_flow_threshold(spark, sf_dir):
 
 
 def objectives_low_flow(spark, sf_dir):
-    return rounded(metrics.objectives_low_flow(v.pairs_daily(spark, sf_dir), KEY, LOW_FLOW), *KEY)
+    return rounded(metrics.objectives_low_flow(_stored(spark, sf_dir), KEY, LOW_FLOW), *KEY)
 
 
 def objectives_peaks_only(spark, sf_dir):
-    return rounded(metrics.objectives_low_flow(v.pairs_daily(spark, sf_dir), KEY, LOW_FLOW, True), *KEY)
+    return rounded(metrics.objectives_low_flow(_stored(spark, sf_dir), KEY, LOW_FLOW, True), *KEY)
 
 
 def objectives_log_weighted(spark, sf_dir):
@@ -66,11 +72,11 @@ def objectives_log_weighted(spark, sf_dir):
 
 
 def mae_skill_peaks(spark, sf_dir):
-    return rounded(metrics.mae_skill(v.pairs_daily(spark, sf_dir), KEY, LOW_FLOW, True), *KEY)
+    return rounded(metrics.mae_skill(_stored(spark, sf_dir), KEY, LOW_FLOW, True), *KEY)
 
 
 def monthly_boxes(spark, sf_dir):
-    return rounded(metrics.monthly_boxes(v.pairs_daily(spark, sf_dir), KEY, "o"), "obsid", "month", "n")
+    return rounded(metrics.monthly_boxes(_stored(spark, sf_dir), KEY, "o"), "obsid", "month", "n")
 
 
 def monthly_split(spark, sf_dir):
@@ -147,7 +153,7 @@ def series_bounds(spark, sf_dir):
 # --- extremes and events ------------------------------------------------------------------
 
 def _peaks(spark, sf_dir, unit="D"):
-    return alignment.period_max(v.pairs_daily(spark, sf_dir), "s", unit)
+    return settle(alignment.period_max(v.pairs_daily(spark, sf_dir), "s", unit))
 
 
 def plotting_positions(spark, sf_dir):
@@ -169,10 +175,6 @@ def gumbel_moments(spark, sf_dir):
     return rounded(extremes.gumbel_moments(_peaks(spark, sf_dir), KEY), *KEY)
 
 
-def _levels(spark, sf_dir):
-    return extremes.thresholds(_peaks(spark, sf_dir, "M"), KEY, "M")
-
-
 def return_levels(spark, sf_dir):
     wide = extremes.thresholds(_peaks(spark, sf_dir), KEY)
     return rounded(extremes.thresholds_long(wide, KEY), "obsid", "return_period")
@@ -186,7 +188,7 @@ def _pseudo_levels(pairs: DataFrame) -> DataFrame:
 
 
 def _table(spark, sf_dir):
-    pairs = v.pairs_daily(spark, sf_dir)
+    pairs = _stored(spark, sf_dir)
     return events.contingency(pairs, _pseudo_levels(pairs), LABELS)
 
 
@@ -195,8 +197,9 @@ def contingency(spark, sf_dir):
 
 
 def return_level_contingency(spark, sf_dir):
-    pairs = v.pairs_daily(spark, sf_dir)
-    return rounded(events.contingency(pairs, _levels(spark, sf_dir), LABELS), "obsid", "threshold")
+    pairs = _stored(spark, sf_dir)
+    levels = extremes.thresholds(alignment.period_max(pairs, "s", "M"), KEY, "M")
+    return rounded(events.contingency(pairs, levels, LABELS), "obsid", "threshold")
 
 
 def event_scores(spark, sf_dir):

@@ -21,9 +21,10 @@ def pair_logs(files: DataFrame) -> DataFrame:
             for i, name in enumerate(["catchment", "kind", "job"], start=1)}
     named = files.select(part["catchment"].cast("long").alias("catchment"), part["kind"].alias("kind"),
                          part["job"].alias("job"), "text")
-    err = named.filter("kind = 'e'").select("catchment", "job", F.col("text").alias("err"))
-    out = named.filter("kind = 'o'").select("catchment", "job", F.col("text").alias("out"))
-    return err.join(out, ["catchment", "job"], "left")
+    return (named.groupBy("catchment", "job")
+            .agg(F.max(F.when(F.col("kind") == "e", F.col("text"))).alias("err"),
+                 F.max(F.when(F.col("kind") == "o", F.col("text"))).alias("out"))
+            .filter("err IS NOT NULL"))
 
 
 def list_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
