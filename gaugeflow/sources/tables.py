@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeflow.functions.values import present
 from gaugeflow.operators.history import PSEUDO_RUNS
@@ -116,22 +118,21 @@ def read_best_parameters(spark: SparkSession, path: str | list[str], names: list
     return table.select(station.alias("obsid"), F.array(*[F.col(f"`{c}`") for c in columns[3:]]).alias("params"))
 
 
-def significant(value: Column, digits: int = 6) -> Column:
-    """Rounded to significant digits, as the CSV exports show numbers."""
-    size = F.floor(F.log10(F.abs(F.when(value != 0, value)))).cast("int")
-    scale = F.pow(F.lit(10.0), F.lit(digits - 1) - size)
-    return F.when(value == 0, F.lit(0.0)).otherwise(F.rint(value * scale) / scale)
+@F.pandas_udf(T.StringType())
+def six_digits(value: pd.Series) -> pd.Series:
+    """Six significant digits as C prints them with %g; the JVM rounds ties from shorter digits."""
+    return value.map("{:g}".format, na_action="ignore").where(value.notna(), None)
 
 
 def ranked_export(ranked: DataFrame, params: list[str]) -> DataFrame:
-    """Ranked history with the column names of the text format and six significant digits."""
+    """Ranked history as text: the column names of the format and six significant digits."""
     renamed = {v: k for k, v in OBJECTIVE_COLUMNS.items()}
     return ranked.select(
         F.col("rand_id").alias("randId"),
-        *[significant(F.element_at("params", i + 1)).alias(p) for i, p in enumerate(params)],
-        *[significant(F.col(c)).alias(renamed[c]) for c in renamed],
+        *[six_digits(F.element_at("params", i + 1)).alias(p) for i, p in enumerate(params)],
+        *[six_digits(F.col(c)).alias(renamed[c]) for c in renamed],
         F.col("gen").alias("generation"), F.col("run").alias("runNumber"),
-        *[significant(F.col(c)).alias(c) for c in ("corrRank", "saeRank", "KGERank", "paretoRank")])
+        *[six_digits(F.col(c)).alias(c) for c in ("corrRank", "saeRank", "KGERank", "paretoRank")])
 
 
 def write_stations(screened: DataFrame, path: str) -> None:
