@@ -11,7 +11,7 @@ LOG_NAME = r"_([0-9]+)\.([eo])([0-9]{6})$"
 
 def read_job_logs(spark: SparkSession, path: str) -> DataFrame:
     """(catchment, job, err, out): the two logs of each job as whole texts."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*_*.[eo][0-9]*").text(path)
+    files = spark.read.option("pathGlobFilter", "*_*.[eo][0-9]*").text(path, wholetext=True)
     return pair_logs(files.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")))
 
 

@@ -128,13 +128,23 @@ def ranked_export(ranked: DataFrame, params: list[str]) -> DataFrame:
     """Ranked history as text: the column names of the format and six significant digits."""
     renamed = {v: k for k, v in OBJECTIVE_COLUMNS.items()}
     return ranked.select(
-        F.col("rand_id").alias("randId"),
+        "obsid", F.col("rand_id").alias("randId"),
         *[six_digits(F.element_at("params", i + 1)).alias(p) for i, p in enumerate(params)],
         *[six_digits(F.col(c)).alias(renamed[c]) for c in renamed],
         F.col("gen").alias("generation"), F.col("run").alias("runNumber"),
         *[six_digits(F.col(c)).alias(c) for c in ("corrRank", "saeRank", "KGERank", "paretoRank")])
 
 
+def best_export(best: DataFrame) -> DataFrame:
+    """Best parameter sets as text with six significant digits."""
+    return best.select("obsid", *[six_digits(F.col(c)).alias(c) for c in best.columns if c != "obsid"])
+
+
+def write_exports(table: DataFrame, path: str) -> None:
+    """CSV with one folder per station; best parameters and ranked runs are a small share of a history."""
+    table.repartition("obsid").write.mode("overwrite").partitionBy("obsid").option("header", True).csv(path)
+
+
 def write_stations(screened: DataFrame, path: str) -> None:
     """Accepted and rejected stations in one write, apart by ``is_valid``."""
     screened.write.mode("overwrite").partitionBy("is_valid").parquet(path)
