@@ -20,13 +20,13 @@ def best_runs(spark, sf_dir):
 
 def ranked_runs(spark, sf_dir):
     ranked = h.rank_runs(v.history(spark, sf_dir), KEY)
-    return rounded(ranked.select(*RUN, "corrRank", "saeRank", "KGERank", "paretoRank"), *RUN, digits=9)
+    return ranked.select(*RUN, "corrRank", "saeRank", "KGERank", "paretoRank")
 
 
 def mosaic_ranked_runs(spark, sf_dir):
     """The variant of the map export: plain i/n scores, no minimum number of runs."""
     ranked = h.rank_runs(v.history(spark, sf_dir), KEY, minimum=0, floor=0.0)
-    return rounded(ranked.select(*RUN, "corrRank", "saeRank", "KGERank", "paretoRank"), *RUN, digits=9)
+    return ranked.select(*RUN, "corrRank", "saeRank", "KGERank", "paretoRank")
 
 
 def _with_params(spark, sf_dir):
@@ -105,8 +105,7 @@ def _ranked(minimum: int, floor: float) -> str:
       p as (select *, "corrRank"*"saeRank"*"KGERank" "paretoRank" from r)"""
 
 
-_RANKS = """obsid, gen, run, round("corrRank",9) "corrRank", round("saeRank",9) "saeRank",
-  round("KGERank",9) "KGERank", round("paretoRank",9) "paretoRank\""""
+_RANKS = 'obsid, gen, run, "corrRank", "saeRank", "KGERank", "paretoRank"'
 _ARCHIVE = f"""m as (select *, -sae fit from ({v.HISTORY})),
   arch as (select * from m a where not exists (select 1 from m b where b.obsid=a.obsid
     and b.kge>=a.kge and b.corr>=a.corr and b.fit>=a.fit
