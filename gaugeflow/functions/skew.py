@@ -58,9 +58,11 @@ def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Data
 def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner",
                 hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
     """Join where ``rows`` may hold hot keys; only hot keys of ``table`` are replicated."""
-    hot = settle(hot_keys(rows, keys, hot_rows))
-    if hot.isEmpty():
+    found = hot_keys(rows, keys, hot_rows)
+    largest = found.collect()  # at most HOT_KEYS rows
+    if not largest:
         return rows.join(table, keys, how)
+    hot = rows.sparkSession.createDataFrame(largest, found.schema)
     content = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     spread = (

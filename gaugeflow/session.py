@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +17,6 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
@@ -42,6 +42,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, keep it on shared storage and forget its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table on shared storage and read it back.
+
+    Later plans start from the table: it is computed once, survives lost executors, is read by
+    column, and its size is known. A plain table is used instead of ``checkpoint()`` because a
+    checkpointed plan keeps the inferred constraints of its origin, and in a loop they multiply
+    until planning takes longer than the work. The tables are scratch, like checkpoints.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
