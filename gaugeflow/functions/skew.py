@@ -56,8 +56,14 @@ def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Data
 
 
 def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner",
-                hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
-    """Join where ``rows`` may hold hot keys; only hot keys of ``table`` are replicated."""
+                hot_rows: int = HOT_ROWS, salts: int = SALTS, n_rows: int | None = None) -> DataFrame:
+    """Join where ``rows`` may hold hot keys; only hot keys of ``table`` are replicated.
+
+    ``n_rows`` is the number of rows where the caller has counted them: fewer than ``hot_rows``
+    cannot hold a hot key.
+    """
+    if n_rows is not None and n_rows < hot_rows:
+        return rows.join(table, keys, how)
     found = hot_keys(rows, keys, hot_rows)
     largest = found.collect()  # at most HOT_KEYS rows
     if not largest:

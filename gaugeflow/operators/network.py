@@ -41,10 +41,12 @@ def interstation_regions(ldd: DataFrame, gauges: DataFrame, hot_rows: int = HOT_
         (F.col("obsid").isNotNull() | F.col("down").isNull()).alias("done")))
     for _ in range(MAX_ROUNDS):
         moving = state.filter("NOT done")
-        if moving.isEmpty():
+        n_moving = moving.count()
+        if not n_moving:
             break
         jump = state.select(F.col("cell").alias("at"), F.col("at").alias("_at"), F.col("done").alias("_done"))
-        moved = salted_join(moving.select("cell", "at"), jump, ["at"], "left", hot_rows).select(
+        moved = salted_join(moving.select("cell", "at"), jump, ["at"], "left", hot_rows,
+                            n_rows=n_moving).select(
             "cell", F.col("_at").alias("at"), F.coalesce("_done", F.lit(True)).alias("done"))
         state = settle(state.filter("done").unionByName(moved))
     else:
@@ -78,7 +80,7 @@ def station_tree(parents: DataFrame, regions: DataFrame, hot_rows: int = HOT_ROW
                 F.coalesce("own_cells", F.lit(0)).cast("long").alias("own_cells"),
                 F.coalesce("own_cells", F.lit(0)).cast("long").alias("upstream_cells"),
                 F.lit(0).cast("long").alias("wave")))
-    reach = 1
+    reach, n_stations = 1, state.count()
     for _ in range(MAX_ROUNDS):
         if state.filter("jump IS NOT NULL").isEmpty():
             break
@@ -87,7 +89,8 @@ def station_tree(parents: DataFrame, regions: DataFrame, hot_rows: int = HOT_ROW
         behind = (state.filter("jump IS NOT NULL").groupBy(F.col("jump").alias("obsid"))
                   .agg(F.sum("upstream_cells").alias("_cells"), F.max("wave").alias("_wave")))
         state = settle(
-            salted_join(state, ahead, ["jump"], "left", hot_rows).join(behind, "obsid", "left").select(
+            salted_join(state, ahead, ["jump"], "left", hot_rows, n_rows=n_stations)
+            .join(behind, "obsid", "left").select(
                 "obsid", "parent", F.col("_jump").alias("jump"),
                 (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
                 F.coalesce("_root", "root").alias("root"), "own_cells",
@@ -138,6 +141,7 @@ def inlet_cells(parents: DataFrame, ldd: DataFrame, hot_rows: int = HOT_ROWS) ->
         F.col("parent").alias("obsid"), F.col("obsid").alias("upstream_id"), turn.alias("turn"),
         F.col("down").alias("cell")))
     step = ldd.select("cell", F.col("down").alias("_down"))
+    n_inlets = state.count()
     while True:
         first = (state.filter("cell IS NOT NULL").groupBy("cell")
                  .agg(F.min("turn").alias("_first"), F.count(F.lit(1)).alias("_users"))
@@ -147,7 +151,7 @@ def inlet_cells(parents: DataFrame, ldd: DataFrame, hot_rows: int = HOT_ROWS) ->
             return state.drop("turn")
         leaves = F.col("_first").isNotNull() & (F.col("turn") != F.col("_first"))
         state = settle(
-            salted_join(state, contested, ["cell"], "left", hot_rows).select(
+            salted_join(state, contested, ["cell"], "left", hot_rows, n_rows=n_inlets).select(
                 "obsid", "upstream_id", "turn",
                 F.when(leaves, F.col("_down")).otherwise(F.col("cell")).alias("cell")))
 
@@ -205,6 +209,7 @@ def thin_stations(tree: DataFrame, area: str, max_share: float, hot_rows: int =
     double their steps, so the rounds are logarithmic in the length of a stem.
     """
     facts = settle(tree.select(F.col("obsid").alias("id"), F.col(area).cast("double").alias("area")))
+    n = facts.count()
     levels = [settle(_main_stems(tree, area))]
     while not levels[-1].isEmpty():
         half = levels[-1]
@@ -217,17 +222,17 @@ def thin_stations(tree: DataFrame, area: str, max_share: float, hot_rows: int =
     for level in reversed(levels):
         ahead = level.select(F.col("id").alias("at"), F.col("up").alias("_up"), F.col("up_area").alias("_area"))
         within = F.col("_area") <= F.col("limit")
-        place = settle(salted_join(place, ahead, ["at"], "left", hot_rows).select(
+        place = settle(salted_join(place, ahead, ["at"], "left", hot_rows, n_rows=n).select(
             "id", "limit", F.when(within, F.col("_up")).otherwise(F.col("at")).alias("at")))
     beyond = levels[0].select(F.col("id").alias("at"), F.col("up").alias("next"))
-    step = settle(salted_join(place, beyond, ["at"], "inner", hot_rows).select("id", "next"))
+    step = settle(salted_join(place, beyond, ["at"], "inner", hot_rows, n_rows=n).select("id", "next"))
 
     kept = settle(facts.join(levels[0].select(F.col("up").alias("id")), "id", "left_anti").select("id"))
     while not step.isEmpty():
         reached = step.join(kept, "id", "left_semi").select(F.col("next").alias("id"))
         kept = settle(kept.unionByName(reached).distinct())
         ahead = step.select(F.col("id").alias("next"), F.col("next").alias("_next"))
-        step = settle(salted_join(step, ahead, ["next"], "inner", hot_rows).select(
+        step = settle(salted_join(step, ahead, ["next"], "inner", hot_rows, n_rows=n).select(
             "id", F.col("_next").alias("next")))
     marks = kept.withColumn("_kept", F.lit(True))
     return facts.select("id").join(marks, "id", "left").select(

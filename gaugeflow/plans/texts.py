@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.values import stamp_text
 from gaugeflow.operators import diagnostics, inflows, logs, metrics, network
 from gaugeflow.plans import topology
 from gaugeflow.plans import views as v

@@ -11,8 +11,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.values import (MISSING, STAMP_FORMAT, add_minutes, check_step, parse_stamp,
-                                        present, stamp_text)
+from gaugeflow.functions.values import (MISSING, add_minutes, check_step, parse_stamp, present,
+                                        stamp_text)
 
 # Pieces of the station folder layout.
 STATION_FOLDER = r"/([0-9]+)/out/"
