@@ -108,7 +108,7 @@ def pending_stations(spark, sf_dir):
 
 def station_texts(spark, sf_dir):
     return v.stations(spark, sf_dir).select(
-        "obsid", coordinates_text(F.round(F.col("LisfloodX") / 64), F.round(F.col("LisfloodY") / 64))
+        "obsid", coordinates_text(F.round(F.col("x") / 64), F.round(F.col("y") / 64))
         .alias("coordinates"), padded_id(F.col("obsid")).alias("padded"))
 
 
@@ -208,8 +208,8 @@ ORACLES = {
       where area is not null and obsid in (select l_orderkey%71 from lineitem)""",
     "pending_stations": f"""select obsid, CAL_TYPE from ({v.STATIONS})
       where obsid not in (select obsid from ({v.HISTORY}))""",
-    "station_texts": f"""select obsid, concat_ws(' ', cast(round(LisfloodX/64) as varchar),
-      cast(round(LisfloodY/64) as varchar)) coordinates, lpad(cast(obsid as varchar),5,'0') padded
+    "station_texts": f"""select obsid, concat_ws(' ', cast(round(x/64) as varchar),
+      cast(round(y/64) as varchar)) coordinates, lpad(cast(obsid as varchar),5,'0') padded
       from ({v.STATIONS})""",
     "cleaned_values": """select cast(c_nationkey as bigint) obsid, count(q) n_present, round(sum(q),6) total,
       round(sum(case when q>=0 then q end),6) total_positive from (select c_nationkey,

@@ -97,7 +97,7 @@ def _log_files(spark, sf_dir):
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     text = {"key": key.cast("string"), "cust": cust.cast("string")}
     job = F.lpad(text["key"], 6, "0")
-    base = F.concat(F.lit("/logs/LF_cal_01_"), text["cust"])
+    base = F.concat(F.lit("/logs/cal_01_"), text["cust"])
     gen = (key % 12).cast("string")
     real = F.concat(F.lit("\nreal\t"), (key % 60).cast("string"), F.lit("m"), (cust % 60).cast("string"),
                     F.lit(".123s\nuser\t0m1.0s\n"))

@@ -95,8 +95,8 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         (30 + key % 40).cast("int").alias("Spinup_days"),
         (110 + key % 5 * 90).cast("double").alias("Min_calib_days"),
         F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("area"),
-        (4000000 + key * 500).cast("double").alias("LisfloodX"),
-        (2000000 + key * 250).cast("double").alias("LisfloodY"),
+        (4000000 + key * 500).cast("double").alias("x"),
+        (2000000 + key * 250).cast("double").alias("y"),
         add_days(F.lit(datetime(1994, 1, 1)), key % 365).alias("prerun_start"))
 
 
@@ -106,8 +106,8 @@ STATIONS = """select s_suppkey obsid, s_name StationName,
        else cast(s_suppkey%4 as varchar) end EC_calib,
   cast(30 + s_suppkey%40 as int) Spinup_days, cast(110 + s_suppkey%5*90 as double) Min_calib_days,
   case when s_acctbal>0 then s_acctbal end area,
-  cast(4000000 + s_suppkey*500 as double) LisfloodX,
-  cast(2000000 + s_suppkey*250 as double) LisfloodY,
+  cast(4000000 + s_suppkey*500 as double) x,
+  cast(2000000 + s_suppkey*250 as double) y,
   timestamp '1994-01-01' + cast(s_suppkey%365 as int) * interval 1 day prerun_start
   from supplier"""
 

@@ -29,18 +29,22 @@ def given(text: Column) -> Column:
 
 
 def read_stations(spark: SparkSession, path: str | list[str],
-                  numbers: tuple[str, ...] = ("LisfloodX", "LisfloodY", "DrainingArea.km2.LDD",
-                                              "CatchmentArea", "SamplingFrequency",
-                                              "Spinup_days", "Min_calib_days")) -> DataFrame:
-    """Station metadata: text columns, the named ones as numbers, keyed by obsid."""
+                  numbers: tuple[str, ...] = ("DrainingArea.km2.LDD", "CatchmentArea", "SamplingFrequency",
+                                              "Spinup_days", "Min_calib_days"),
+                  coordinates: tuple[str, str] | None = None) -> DataFrame:
+    """Station metadata: text columns, the named ones as numbers, keyed by obsid.
+
+    ``coordinates`` names the two columns that become ``x`` and ``y`` on the model grid.
+    """
+    renamed = dict(zip(coordinates, ("x", "y"))) if coordinates else {}
     table = spark.read.option("header", True).csv(path)
     columns = []
     for name in table.columns:
         value = given(F.col(f"`{name}`"))
         if name == "ObsID":
             columns.append(value.cast("long").alias("obsid"))
-        elif name in numbers:
-            columns.append(value.try_cast("double").alias(name))
+        elif name in renamed or name in numbers:
+            columns.append(value.try_cast("double").alias(renamed.get(name, name)))
         else:
             columns.append(value.alias(name))
     return table.select(*columns)

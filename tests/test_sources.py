@@ -99,9 +99,11 @@ def test_wide_reader_and_stamped_writer(spark, tmp_path):
 
 def test_station_readers(spark, tmp_path):
     meta = tmp_path / "stations.csv"
-    meta.write_text("ObsID,StationName,River,EC_calib,DrainingArea.km2.LDD,CatchmentArea\n"
-                    "380,Borgotaro,Taro,T,400,16.0\n2733,\"Raskov, Morava\",-,3,-,\n")
-    got = {r.obsid: r for r in tables.read_stations(spark, str(meta)).collect()}
+    meta.write_text("ObsID,StationName,River,EC_calib,DrainingArea.km2.LDD,CatchmentArea,GridX,GridY\n"
+                    "380,Borgotaro,Taro,T,400,16.0,4307500,2377500\n2733,\"Raskov, Morava\",-,3,-,,-,1\n")
+    table = tables.read_stations(spark, str(meta), coordinates=("GridX", "GridY"))
+    got = {r.obsid: r for r in table.collect()}
+    assert (got[380].x, got[380].y) == (4307500, 2377500) and (got[2733].x, got[2733].y) == (None, 1)
     assert got[380]["DrainingArea.km2.LDD"] == 400 and got[380].CatchmentArea == 16
     assert got[2733].River is None and got[2733].StationName == "Raskov, Morava"
     assert got[2733]["DrainingArea.km2.LDD"] is None and got[2733].CatchmentArea is None
@@ -157,10 +159,10 @@ def test_job_logs(spark, tmp_path):
              "569.{}123457": (logs.NO_IMPROVEMENT + "\n", "no-improvement", "0.912"),
              "570.{}123458": ("", None, "error")}
     for name, (stops, _, _) in cases.items():
-        (tmp_path / ("LF_cal_01_" + name.format("e"))).write_text("real\t12m34.567s\nuser\t1m0.0s\nreal\t0m59.9s\n")
-        (tmp_path / ("LF_cal_01_" + name.format("o"))).write_text(OUT_LOG.format(first=0, stops=stops))
-    (tmp_path / "LF_cal_01_571.e123459").write_text("no times\n")
-    (tmp_path / "LF_cal_01_571.o123459").write_text("killed\n")
+        (tmp_path / ("cal_01_" + name.format("e"))).write_text("real\t12m34.567s\nuser\t1m0.0s\nreal\t0m59.9s\n")
+        (tmp_path / ("cal_01_" + name.format("o"))).write_text(OUT_LOG.format(first=0, stops=stops))
+    (tmp_path / "cal_01_571.e123459").write_text("no times\n")
+    (tmp_path / "cal_01_571.o123459").write_text("killed\n")
     got = {r.catchment: r for r in logs.job_table(jobs.read_job_logs(spark, str(tmp_path))).collect()}
     assert set(got) == {568, 569, 570, 571}
     for name, (_, termination, kge) in cases.items():
