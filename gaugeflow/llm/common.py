@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from gaugeflow.session import settle
 
 LEAST_ID = -(2 ** 63)
-BATCH_BYTES = 1_500_000  # bytes of text that a task turns into arrays at once; one text is never split
+BATCH_BYTES = 1_000_000  # bytes of text that a task turns into arrays at once; one text is never split
 STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 STEP_BACK = np.uint64(pow(int(STEP), -1, 2 ** 64))
 SPACES = b" \t\n\r\x0b\x0c"  # \x20 and \x09-\x0D

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from gaugeflow.llm import lm_scoring
+from gaugeflow.llm.line_dedup import op2_line_dedup
+from gaugeflow.llm.lm_scoring import op1_lm_scoring
 from gaugeflow.llm.near_dedup import op5_near_dedup
 from gaugeflow.llm.substring_dedup import op9_substring_dedup
 
-QUERIES = {q.__name__: q for q in (op5_near_dedup, op9_substring_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES = {q.__name__: q for q in (op1_lm_scoring, op2_line_dedup, op5_near_dedup, op9_substring_dedup)}
+ORACLES = {"op1_lm_scoring": lm_scoring.ORACLE}
