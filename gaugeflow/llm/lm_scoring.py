@@ -151,7 +151,7 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
     """Per row: its id, n_words, ce_target, ce_background, ce_diff. ``target_ids`` has the id column."""
     texts = id_and_text(docs, id_col, text_col)
     wanted = target_ids.filter(F.col(id_col).isNotNull()).select(key_of(id_col).alias("_id")).distinct()
-    target = settle(texts.join(wanted, "_id", "left_semi").select("_id", "_text"))
+    target = settle(texts.join(wanted.hint("merge"), "_id", "left_semi").select("_id", "_text"))
     model = docs.sparkSession.sparkContext.broadcast(fit(texts, target))
 
     def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
