@@ -8,8 +8,8 @@
    each other. Pairs whose collision-corrected estimate from bit counts is at least ``ESTIMATE``
    (six standard deviations below the threshold) are confirmed on their full sets.
 4. Buckets that still hold documents of several components are searched again: the documents
-   outside the bucket's main component are joined to all its members of other components, and only
-   pairs that pass the estimate leave the join.
+   outside the bucket's main component are joined to its members of other components. Estimate and
+   full sets are compared inside the join, so only links leave it.
 5. Components come from star contraction.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; fewer than five
@@ -113,15 +113,20 @@ def estimate(a: str, b: str) -> Column:
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of the pairs (a, b), those similar enough on their full sets."""
-    wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
-    sets = settle(texts.join(wanted, "_id", "left_semi").select("_id", "_text").dropDuplicates(["_id"])
-                  .mapInArrow(full_sets, "_id long, shingles array<long>"))
+    sets = settle(_sets(texts, pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()))
     both = (pairs.join(sets.select(F.col("_id").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("_id").alias("b"), F.col("shingles").alias("sb")), "b"))
-    shared = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return (both.withColumn("shared", shared)
-            .withColumn("union", F.size("sa") + F.size("sb") - F.col("shared"))
-            .filter(F.col("shared") * 100 >= F.col("union") * PERCENT).select("a", "b"))
+    return both.filter(_linked("sa", "sb")).select("a", "b")
+
+
+def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    return (texts.join(wanted.hint("merge"), "_id", "left_semi").select("_id", "_text").dropDuplicates(["_id"])
+            .mapInArrow(full_sets, "_id long, shingles array<long>"))
+
+
+def _linked(a: str, b: str) -> Column:
+    # 100 * shared >= PERCENT * (|a| + |b| - shared)
+    return F.size(F.array_intersect(a, b)).cast("long") * (100 + PERCENT) >= (F.size(a) + F.size(b)) * PERCENT
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -130,20 +135,27 @@ def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
             .filter(estimate("sig_a", "sig_b") >= ESTIMATE).select("a", "b"))
 
 
-def _unresolved(members: DataFrame, comps: DataFrame, reps: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket, pass the estimate and were not confirmed yet."""
+def _across(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components that share a bucket.
+
+    A pair is looked at in the first band it shares only. Estimate and full sets are compared
+    inside the join, so what leaves it are links, not pairs.
+    """
     placed = settle(members.join(comps, members["_id"] == comps["node"], "left")
-                    .select("bucket", "_id", F.coalesce("root", "_id").alias("comp")))
+                    .select("bucket", "band", "_id", F.coalesce("root", "_id").alias("comp")))
     sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = (sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"), F.count(F.lit(1)).alias("k"))
             .filter("k > 1").select("bucket", F.col("most.comp").alias("main")))
-    open_ = settle(placed.join(main, "bucket").join(reps.select("_id", "sig"), "_id"))
-    minor = open_.filter("comp <> main").select("bucket", *[F.col(c).alias(f"{c}_m") for c in ("_id", "comp", "sig")])
-    met = (minor.join(open_, "bucket")
-           .filter("comp_m <> comp").filter("comp = main OR _id_m < _id")
-           .filter(estimate("sig_m", "sig") >= ESTIMATE)
-           .select(F.least("_id_m", "_id").alias("a"), F.greatest("_id_m", "_id").alias("b")).distinct())
-    return met.join(done, ["a", "b"], "left_anti")
+    open_ = settle(placed.join(main, "bucket"))
+    own = settle(_sets(texts, open_.select("_id").distinct()).join(reps, "_id"))
+    held = open_.join(own, "_id")
+    minor = held.filter("comp <> main").select("bucket", *[F.col(c).alias(f"{c}_m") for c in ("_id", "comp", "sig", "bands", "shingles")])
+    shared_first = F.coalesce(*[F.when(F.get("bands_m", F.lit(i)) == F.get("bands", F.lit(i)), F.lit(i)) for i in range(BANDS)])
+    near = ((F.col("comp_m") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("_id_m") < F.col("_id")))
+            & (estimate("sig_m", "sig") >= ESTIMATE) & (shared_first == F.col("band")) & _linked("shingles_m", "shingles"))
+    renamed = held.withColumnRenamed("bucket", "bucket_h")
+    return (minor.join(renamed.hint("merge"), (F.col("bucket") == F.col("bucket_h")) & near)
+            .select(F.least("_id_m", "_id").alias("a"), F.greatest("_id_m", "_id").alias("b")).distinct())
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,7 +170,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     copies = settle(placed.filter("_id <> rep").select("_id").distinct())
     reps = settle(sketch.filter("n > 0").join(copies, "_id", "left_anti").dropDuplicates(["_id", "s1", "s2"])
                   .select("_id", "sig", "bands"))
-    in_bands = reps.select("_id", F.explode("bands").alias("bucket"))
+    in_bands = reps.select("_id", F.posexplode("bands").alias("band", "bucket"))
     buckets = settle(in_bands.groupBy("bucket").agg(F.min("_id").alias("low"), F.max("_id").alias("high"))
                      .filter("low < high"))
     members = settle(in_bands.join(buckets, "bucket"))
@@ -169,8 +181,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # ids that stand for several sets (rows that repeat a doc_id) are joined through their copies
     through = placed.filter("_id <> rep").select(F.col("rep").alias("a"), F.col("_id").alias("b")).distinct()
     comps = components(links)
-    again = settle(_unresolved(members.select("bucket", "_id"), comps, reps, first))
-    links = links.unionByName(_confirmed(again, texts))
+    links = links.unionByName(settle(_across(members.select("bucket", "band", "_id"), comps, reps, texts)))
     comps = settle(components(links.unionByName(through)))
     out = (placed.join(comps, placed["_id"] == comps["node"], "left")
            .select("_id", "n", F.coalesce("root", "_id").alias("comp")))
