@@ -9,7 +9,7 @@ channel its state opens (plain, at a target, negated, reported; threats only at
 matched clause is scored and not an isolated word. A document's channel sums enter a logistic model.
 
 The fit reads at most ``SAMPLE`` labelled rows, those with the smallest hash of doc_id, and keeps at
-most ``ENTRIES`` lexicon entries. Scoring reads every whole text and nothing but the text.
+most ``ENTRIES`` lexicon entries; equal texts count once. Scoring reads every whole text and nothing but the text.
 
 Defined cases: a null or empty text scores like a text without insults; null labels are not used;
 without labels every score is 0.5; rows that repeat a doc_id are scored each; a label that repeats
@@ -32,8 +32,8 @@ from gaugeflow.llm.common import id_and_text, id_of, key_of
 
 SAMPLE = 20_000
 ENTRIES = 5_000
-LEAST_EVIDENCE = 24.0  # likelihood ratio of an entry's document counts
-LEAST_WEIGHT = 2.0  # logarithm of the odds ratio
+LEAST_EVIDENCE = 30.0  # likelihood ratio of an entry's document counts
+LEAST_WEIGHT = 4.0  # logarithm of the odds ratio
 BEGINNINGS = (4, 5, 6)
 REJECT = 0.7
 CACHE = 300_000  # words whose symbol a task remembers
@@ -192,9 +192,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = docs.sparkSession.createDataFrame(rows, "_id long, _toxic int")
     texts = id_and_text(docs, id_col, text_col).join(F.broadcast(known), "_id").select("_id", "_text", "_toxic")
     toxic, clean = (sum(r["_toxic"] == v for r in rows) for v in (1, 0))
-    if not toxic or not clean:
+    if not toxic or not clean:  # nothing to learn from
         return Grammar({}, np.zeros(2 + len(CHANNELS)))
-    counts = texts.mapInArrow(_entry_counts, "entry string, c long, t long").groupBy("entry").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
+    distinct = texts.dropDuplicates(["_text"])  # copies of one text are one piece of evidence
+    counts = distinct.mapInArrow(_entry_counts, "entry string, c long, t long").groupBy("entry").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
     share = toxic / (toxic + clean)
     seen = F.col("t") + F.col("c")
 

@@ -41,7 +41,7 @@ def test_composition_follows_each_transducer():
 
 
 def test_nulls_empty_clashing_names_and_filter(spark):
-    docs = [(i, "the scoundrel of " + "x" * (i % 5)) if i % 2 else (i, f"the word {i}") for i in range(120)]
+    docs = [(i, "the scoundrel of " + "x" * (i + 1)) if i % 2 else (i, f"the word {i}") for i in range(120)]
     docs += [(500, None), (501, ""), (None, "scoundrel"), (502, "fine " * 50000)]
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as score", "'a' as _id", "2 as toxic")
     labels = spark.createDataFrame([(i, i % 2) for i in range(120)] + [(500, None), (None, 1)], "doc_id long, toxic int")
