@@ -5,20 +5,46 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeflow.llm import near_dedup
+from gaugeflow.llm import decontamination, line_dedup, near_dedup, pieces, toxicity
 from gaugeflow.session import checkpoint_dir
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the bound; the grammar learns from the labels of documents present."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without runs of lines that start earlier; a document of later copies is left empty."""
+    return line_dedup.cut_documents(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
     return near_dedup.drop_near_duplicates(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, with the outcome of decoding them."""
+    return pieces.encode_documents(docs, pieces.default_model())
+
+
 STAGES = [
+    ("toxicity", reject_toxic),
+    ("line dedup", cut_repeated_lines),
     ("near duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("encoding", encode),
 ]
 
-# Learned models, iterated components and keyed segmentations have no SQL form; tests use brute force.
+# A learned model, components and keyed segmentations have no SQL form; tests use plain versions.
 ORACLE_SQL = None
 
 
