@@ -120,15 +120,17 @@ def running_total(df: DataFrame, keys: list[str], order: list[Column], name: str
     before = (
         sliced.groupBy(*slice_key).agg(F.sum(step).alias("_sum"))
         .withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
-        .drop("_sum")
+        .select(*[F.col(k).alias(f"_slice_{k}") for k in keys], F.col("_slice").alias("_slice_no"), "_before")
     )
+    same_slice = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_slice_{k}")) for k in keys],
+                        F.col("_slice") == F.col("_slice_no"))
     within = Window.partitionBy(*slice_key).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (
         sliced.withColumn("_within", F.sum(step).over(within))
-        .join(before, slice_key)
+        .join(before, same_slice)
         .withColumn(name, F.col("_before") + F.col("_within"))
-        .drop("_slice", "_within", "_before")
+        .drop("_slice", "_within", "_before", "_slice_no", *[f"_slice_{k}" for k in keys])
     )
 
 

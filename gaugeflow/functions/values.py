@@ -81,5 +81,6 @@ def coordinates_text(x: Column, y: Column) -> Column:
 
 
 def padded_id(obsid: Column, width: int = 5) -> Column:
-    """Zero-padded station number."""
-    return F.lpad(obsid.cast("long").cast("string"), width, "0")
+    """Station number, zero-padded to ``width``; longer numbers stay whole."""
+    text = obsid.cast("long").cast("string")
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))

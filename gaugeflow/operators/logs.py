@@ -34,7 +34,8 @@ def job_table(logs: DataFrame) -> DataFrame:
     The end of a log is cut out once by plain text search; patterns only see those few lines.
     """
     head = F.substring_index("out", TIME_ELAPSED, 1)
-    rest = F.substring(F.col("out"), F.length(head) + F.lit(len(TIME_ELAPSED) + 1), F.lit(40))
+    rest = F.substring(F.col("out"), F.length(head) + F.lit(len(TIME_ELAPSED) + 1), F.length("out"))
+    rest = F.substring_index(rest, "\n", 1)
     parts = logs.select(
         "catchment", "job", "out", F.regexp_extract_all("err", F.lit(REAL_TIME), F.lit(0)).alias("times"),
         (F.length(head) < F.length("out")).alias("finished"),

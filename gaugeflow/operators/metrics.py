@@ -210,7 +210,8 @@ def mae_skill(pairs: DataFrame, keys: list[str], percentile: float = 0.0,
     if percentile > 0 and peaks_only:
         kept = attach_stats(kept, low_flow_threshold(pairs, keys, percentile), keys).filter(
             F.col("o") > F.col("threshold"))
-    return kept.groupBy(*keys).agg((1 - F.avg(F.abs(F.col("s") - F.col("o")))).alias("mae_skill"))
+    skill = 1 - F.avg(F.abs(F.col("s") - F.col("o")))
+    return kept.groupBy(*keys).agg(F.when(F.count(F.lit(1)) > 1, skill).alias("mae_skill"))
 
 
 def split_monthly(pairs: DataFrame) -> DataFrame:

@@ -34,6 +34,9 @@ def interstation_regions(ldd: DataFrame, gauges: DataFrame, hot_rows: int = HOT_
 
     That station has the smallest of the nested catchments that hold the cell.
     """
+    shared = gauges.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy("cell").head(1)
+    if shared:
+        raise ValueError(f"{shared[0]['n']} stations share cell {shared[0]['cell']}")
     placed = ldd.join(gauges.select("cell", "obsid"), "cell", "left")
     state = settle(placed.select(
         "cell",

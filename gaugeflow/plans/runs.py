@@ -67,10 +67,9 @@ def kge_target(spark, sf_dir):
 
 
 def complete_generations(spark, sf_dir):
-    """Runs up to the first generation that misses runs; sizes from the first station's counts."""
-    runs = v.history(spark, sf_dir).withColumn("gen", F.floor(F.col("kge") * 4).cast("long")).filter("gen >= 0")
-    sized = runs.withColumn("obsid", F.col("run") % 500)
-    return h.complete_generations(sized, 1, 1).select(*RUN)
+    """Runs up to the first generation that misses runs: eight order numbers are four generations of two."""
+    runs = v.history(spark, sf_dir).withColumn("gen", F.col("run") % 4).withColumn("obsid", F.floor(F.col("run") / 8).cast("long"))
+    return h.complete_generations(runs, 2, 2).select(*RUN)
 
 
 def chosen_scenarios(spark, sf_dir):
@@ -134,11 +133,10 @@ ORACLES = {
     "kge_target": f"""with {_FRONT}, l as (select obsid, max(top) k from fr group by obsid)
       select obsid, round(k,6) "effmax_R",
         cast(abs(k-1.0::double)<0.0004::double and k>0.9995::double as int) reached from l""",
-    "complete_generations": f"""with h as (select run%500 obsid, cast(floor(kge*4) as bigint) gen, run
-        from ({v.HISTORY}) where floor(kge*4)>=0),
+    "complete_generations": f"""with h as (select run//8 obsid, run%4 gen, run from ({v.HISTORY})),
       c as (select obsid, gen, count(*) n, row_number() over (partition by obsid order by gen)-1 i
         from h group by 1, 2),
-      w as (select obsid, gen, max(cast(n<>1 or gen<>i as int)) over (partition by obsid order by gen) bad from c)
+      w as (select obsid, gen, max(cast(n<>2 or gen<>i as int)) over (partition by obsid order by gen) bad from c)
       select h.* from h join w on w.obsid=h.obsid and w.gen=h.gen and bad=0""",
     "chosen_scenarios": f"""with h as (select obsid, gen, run, kge from ({v.HISTORY})),
       l as (select n_nationkey from nation where n_regionkey=1)

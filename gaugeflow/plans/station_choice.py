@@ -209,7 +209,7 @@ ORACLES = {
     "pending_stations": f"""select obsid, CAL_TYPE from ({v.STATIONS})
       where obsid not in (select obsid from ({v.HISTORY}))""",
     "station_texts": f"""select obsid, concat_ws(' ', cast(round(x/64) as varchar),
-      cast(round(y/64) as varchar)) coordinates, lpad(cast(obsid as varchar),5,'0') padded
+      cast(round(y/64) as varchar)) coordinates, lpad(cast(obsid as varchar),greatest(5,length(cast(obsid as varchar)))::int,'0') padded
       from ({v.STATIONS})""",
     "cleaned_values": """select cast(c_nationkey as bigint) obsid, count(q) n_present, round(sum(q),6) total,
       round(sum(case when q>=0 then q end),6) total_positive from (select c_nationkey,

@@ -96,7 +96,7 @@ def _log_files(spark, sf_dir):
     """An error and an output log per order."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     text = {"key": key.cast("string"), "cust": cust.cast("string")}
-    job = F.lpad(text["key"], 6, "0")
+    job = F.when(F.length(text["key"]) >= 6, text["key"]).otherwise(F.lpad(text["key"], 6, "0"))
     base = F.concat(F.lit("/logs/cal_01_"), text["cust"])
     gen = (key % 12).cast("string")
     real = F.concat(F.lit("\nreal\t"), (key % 60).cast("string"), F.lit("m"), (cust % 60).cast("string"),
@@ -136,12 +136,6 @@ def folder_sizes(spark, sf_dir):
     return logs.folder_sizes(files, ["out", "settings", "maps", "inflow"])
 
 
-def table_file_sizes(spark, sf_dir):
-    """Sizes of the table files themselves, from the file listing alone."""
-    files = jobs.list_files(spark, sf_dir, r"/([^/]+)/([a-z]+)\.parquet")
-    return files.groupBy("folder").agg(F.sum("length").alias("bytes"))
-
-
 # --- diagnostics --------------------------------------------------------------------------
 
 def diagnostic_table(spark, sf_dir):
@@ -160,7 +154,7 @@ def diagnostic_table(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     parsed_series, parsed_last_gauge, parsed_wide_table, stamped_series, parsed_links, station_key_values,
-    inflow_text, job_table, folder_sizes, table_file_sizes, diagnostic_table)}
+    inflow_text, job_table, folder_sizes, diagnostic_table)}
 
 
 # --- reference SQL ------------------------------------------------------------------------
@@ -200,7 +194,7 @@ ORACLES = {
       union all select obsid, inlet_no+3, upstream_id::varchar from ids
       union all select inf.obsid, step+2+max(c), step::varchar||' '||
         string_agg(q::varchar||'.0', ' ' order by inlet_no) from inf join cnt using (obsid) group by inf.obsid, step""",
-    "job_table": f"""select o_custkey catchment, lpad(o_orderkey::varchar,6,'0') job,
+    "job_table": f"""select o_custkey catchment, lpad(o_orderkey::varchar,greatest(6,length(o_orderkey::varchar))::int,'0') job,
       case when o_orderkey%4 in (0,1) then o_orderkey%60*60+o_custkey%60 end calib_sec,
       case when o_orderkey%4=0 then o_orderkey%60*60+o_custkey%60 end longrun_sec,
       case when o_orderkey%5<>0 then o_totalprice::varchar end draining_area,

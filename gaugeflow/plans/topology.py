@@ -12,7 +12,6 @@ from gaugeflow.plans.views import day, rounded
 from gaugeflow.session import settle
 
 WORKERS = 4
-WIDE_SLOTS = 12
 MAX_SHARE = 0.1
 
 
@@ -105,9 +104,10 @@ def upstream_inflows(spark, sf_dir):
 
 def upstream_inflows_wide(spark, sf_dir):
     links = network.direct_links(_parents(spark, sf_dir)[1])
-    gathered = inflows.gather_inflows(settle(links), _simulated(spark, sf_dir))
-    wide = inflows.inflows_wide(gathered, "ts", WIDE_SLOTS)
-    return rounded(wide.select("obsid", day(), *[f"q_{i}" for i in range(1, WIDE_SLOTS + 1)]), "obsid", "ts")
+    links = settle(links)
+    slots = links.agg(F.max("inlet_no")).first()[0] or 0
+    wide = inflows.inflows_wide(inflows.gather_inflows(links, _simulated(spark, sf_dir)), "ts", slots)
+    return rounded(wide.select("obsid", day(), *[f"q_{i}" for i in range(1, slots + 1)]), "obsid", "ts")
 
 
 def missing_upstream(spark, sf_dir):
@@ -314,9 +314,9 @@ ORACLES = {
       select obsid, group_id, cast(worker as bigint) worker from grp join fold using (group_id)""",
     "upstream_inflows": f"""{_WALK} select l.obsid, inlet_no, upstream_id, strftime(ts,'%Y-%m-%d %H:%M') ts,
       round(q,6) q from links l join ({_SIM}) s on s.obsid=l.upstream_id""",
-    "upstream_inflows_wide": f"""{_WALK} select l.obsid, strftime(ts,'%Y-%m-%d %H:%M') ts,
-      {', '.join(f"round(max(case when inlet_no={i} then q end),6) q_{i}" for i in range(1, WIDE_SLOTS + 1))}
-      from links l join ({_SIM}) s on s.obsid=l.upstream_id group by 1, 2""",
+    "upstream_inflows_wide": f"""{_WALK}, flows as (select l.obsid, strftime(ts,'%Y-%m-%d %H:%M') ts, 'q_'||inlet_no slot,
+      round(q,6) q from links l join ({_SIM}) s on s.obsid=l.upstream_id)
+      pivot flows on slot using max(q) group by obsid, ts""",
     "missing_upstream": f"{_WALK} select * from links where upstream_id not in (select obsid from ({_SIM}))",
     "inflow_flags": f"""{_WALK} select par.obsid, count(l.inlet_no) n_inflows,
       case when count(l.inlet_no)>0 then '1' else '0' end inflow_flag

@@ -419,7 +419,7 @@ ORACLES = {
     "objectives_peaks_only": _low_flow(True),
     "objectives_log_weighted": _log_weighted(),
     "mae_skill_peaks": _valid(v.PAIRS_DAILY) + f""", {_THRESHOLD}
-      select obsid, round(1-avg(abs(s-o)),6) mae_skill from v join t using (obsid)
+      select obsid, case when count(*)>1 then round(1-avg(abs(s-o)),6) end mae_skill from v join t using (obsid)
       where o>threshold group by obsid""",
     "monthly_boxes": _valid(v.PAIRS_DAILY) + """select obsid, cast(month(ts) as int) as "month", count(o) n,
       round(min(o),6) low, round(max(o),6) high, round(avg(o),6) mean,

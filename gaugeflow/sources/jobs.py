@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: error and output logs of a job share catchment and six-digit job number.
-LOG_NAME = r"_([0-9]+)\.([eo])([0-9]{6})$"
+# Fixed value: error and output logs of a job share catchment and job number (six digits or more).
+LOG_NAME = r"_([0-9]+)\.([eo])([0-9]{6,})$"
 
 
 def read_job_logs(spark: SparkSession, path: str) -> DataFrame:
@@ -19,8 +19,8 @@ def pair_logs(files: DataFrame) -> DataFrame:
     """(catchment, job, err, out) from ``(file, text)``; a job is listed by its error log."""
     part = {name: F.regexp_extract("file", LOG_NAME, i)
             for i, name in enumerate(["catchment", "kind", "job"], start=1)}
-    named = files.select(part["catchment"].cast("long").alias("catchment"), part["kind"].alias("kind"),
-                         part["job"].alias("job"), "text")
+    named = files.select(F.nullif(part["catchment"], F.lit("")).cast("long").alias("catchment"), part["kind"].alias("kind"),
+                         part["job"].alias("job"), "text").filter("kind <> ''")  # other files are skipped
     return (named.groupBy("catchment", "job")
             .agg(F.max(F.when(F.col("kind") == "e", F.col("text"))).alias("err"),
                  F.max(F.when(F.col("kind") == "o", F.col("text"))).alias("out"))

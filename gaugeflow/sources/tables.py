@@ -19,7 +19,6 @@ OBJECTIVE_COLUMNS = {
     "sae": "sae",
 }
 NOT_GIVEN = "-"
-LINK_SLOTS = 20
 
 
 def given(text: Column) -> Column:
@@ -67,12 +66,14 @@ def records_wide(records: DataFrame, names: list[str]) -> DataFrame:
     return records.groupBy("obsid").pivot("key", names).agg(F.first("value"))
 
 
-def read_links(spark: SparkSession, path: str | list[str], slots: int = LINK_SLOTS) -> DataFrame:
-    """(obsid, inlet_no, upstream_id) from the wide link table; blanks are skipped."""
-    names = ["ID", *[f"u{i}" for i in range(1, slots + 1)]]
-    schema = ", ".join(f"{n} STRING" for n in names)
-    table = spark.read.option("header", True).option("enforceSchema", True).csv(path, schema=schema)
-    return parse_links(table, names[1:])
+def read_links(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(obsid, inlet_no, upstream_id) from the wide link table with any number of slots; blanks are skipped."""
+    header = spark.read.text(path).first()
+    names = header[0].split(",") if header else ["ID"]
+    columns = ["ID", *[f"u{i}" for i in range(1, len(names))]]
+    table = spark.read.option("header", True).option("enforceSchema", True).csv(
+        path, schema=", ".join(f"{n} STRING" for n in columns))
+    return parse_links(table, columns[1:])
 
 
 def parse_links(table: DataFrame, slots: list[str]) -> DataFrame:
