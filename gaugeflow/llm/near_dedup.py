@@ -8,8 +8,8 @@
    each other. Pairs whose collision-corrected estimate from bit counts is at least ``ESTIMATE``
    (six standard deviations below the threshold) are confirmed on their full sets.
 4. Buckets that still hold documents of several components are searched again: the documents
-   outside the bucket's main component are joined to its members of other components. Estimate and
-   full sets are compared inside the join, so only links leave it.
+   outside the bucket's main component are compared with its members of other components. Estimate
+   and full sets are compared inside joins, so only members and links leave them.
 5. Components come from star contraction.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; fewer than five
@@ -111,9 +111,8 @@ def estimate(a: str, b: str) -> Column:
     return (match - chance) / (1 - chance)
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of the pairs (a, b), those similar enough on their full sets."""
-    sets = settle(_sets(texts, pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()))
     both = (pairs.join(sets.select(F.col("_id").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("_id").alias("b"), F.col("shingles").alias("sb")), "b"))
     return both.filter(_linked("sa", "sb")).select("a", "b")
@@ -135,26 +134,30 @@ def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
             .filter(estimate("sig_a", "sig_b") >= ESTIMATE).select("a", "b"))
 
 
-def _across(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+def _across(members: DataFrame, comps: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between different components that share a bucket.
 
-    A pair is looked at in the first band it shares only. Estimate and full sets are compared
-    inside the join, so what leaves it are links, not pairs.
+    A pair is looked at in the first band it shares only. Two semi joins keep the members that have
+    any partner by the estimate, once each; full sets are attached to these alone and compared
+    inside the last join, so what leaves a join are members or links, never pairs.
     """
     placed = settle(members.join(comps, members["_id"] == comps["node"], "left")
                     .select("bucket", "band", "_id", F.coalesce("root", "_id").alias("comp")))
     sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = (sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"), F.count(F.lit(1)).alias("k"))
             .filter("k > 1").select("bucket", F.col("most.comp").alias("main")))
-    open_ = settle(placed.join(main, "bucket"))
-    own = settle(_sets(texts, open_.select("_id").distinct()).join(reps, "_id"))
-    held = open_.join(own, "_id")
-    minor = held.filter("comp <> main").select("bucket", *[F.col(c).alias(f"{c}_m") for c in ("_id", "comp", "sig", "bands", "shingles")])
+    held = settle(placed.join(main, "bucket").join(reps, "_id"))
+    minor = held.filter("comp <> main")
+    minor = minor.select(*[F.col(c).alias(f"{c}_m") for c in minor.columns])
     shared_first = F.coalesce(*[F.when(F.get("bands_m", F.lit(i)) == F.get("bands", F.lit(i)), F.lit(i)) for i in range(BANDS)])
-    near = ((F.col("comp_m") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("_id_m") < F.col("_id")))
-            & (estimate("sig_m", "sig") >= ESTIMATE) & (shared_first == F.col("band")) & _linked("shingles_m", "shingles"))
-    renamed = held.withColumnRenamed("bucket", "bucket_h")
-    return (minor.join(renamed.hint("merge"), (F.col("bucket") == F.col("bucket_h")) & near)
+    near = ((F.col("bucket_m") == F.col("bucket")) & (F.col("comp_m") != F.col("comp"))
+            & ((F.col("comp") == F.col("main")) | (F.col("_id_m") < F.col("_id")))
+            & (estimate("sig_m", "sig") >= ESTIMATE) & (shared_first == F.col("band")))
+    some_minor = settle(minor.join(held.hint("merge"), near, "left_semi"))
+    some_held = settle(held.join(minor.hint("merge"), near, "left_semi"))
+    left = some_minor.join(sets.select(F.col("_id").alias("_id_m"), F.col("shingles").alias("shingles_m")), "_id_m")
+    right = some_held.join(sets, "_id")
+    return (left.join(right.hint("merge"), near & _linked("shingles_m", "shingles"))
             .select(F.least("_id_m", "_id").alias("a"), F.greatest("_id_m", "_id").alias("b")).distinct())
 
 
@@ -177,11 +180,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     paired = (members.select("_id", F.explode(F.array("low", "high")).alias("head")).filter("_id <> head")
               .select(F.least("_id", "head").alias("a"), F.greatest("_id", "head").alias("b")).distinct())
     first = settle(_estimated(paired, reps))
-    links = settle(_confirmed(first, texts))
+    sets = settle(_sets(texts, members.select("_id").distinct()))
+    links = settle(_confirmed(first, sets))
     # ids that stand for several sets (rows that repeat a doc_id) are joined through their copies
     through = placed.filter("_id <> rep").select(F.col("rep").alias("a"), F.col("_id").alias("b")).distinct()
     comps = components(links)
-    links = links.unionByName(settle(_across(members.select("bucket", "band", "_id"), comps, reps, texts)))
+    links = links.unionByName(settle(_across(members.select("bucket", "band", "_id"), comps, reps, sets)))
     comps = settle(components(links.unionByName(through)))
     out = (placed.join(comps, placed["_id"] == comps["node"], "left")
            .select("_id", "n", F.coalesce("root", "_id").alias("comp")))
