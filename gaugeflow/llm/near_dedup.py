@@ -98,11 +98,20 @@ def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def estimate(a: str, b: str) -> Column:
-    """Similarity from packed signatures: matching groups of bits, corrected for chance matches."""
+    """Similarity from two arrays of packed signatures."""
+    return _similarity(*[[F.get(c, F.lit(i)) for i in range(LONGS)] for c in (a, b)])
+
+
+def _similarity(a: list[Column], b: list[Column]) -> Column:
+    """Matching groups of bits, corrected for chance matches.
+
+    Joins keep the longs as columns of their own: read from arrays in the join's condition, the
+    expression outgrows what the JVM compiles.
+    """
     ones = F.lit(int("1" * (64 // BITS), 1 << BITS))
     unequal = []
-    for i in range(LONGS):
-        z = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+    for x, y in zip(a, b):
+        z = x.bitwiseXOR(y)
         for shift in (1, 2):
             z = z.bitwiseOR(F.shiftrightunsigned(z, shift))
         unequal.append(F.bit_count(z.bitwiseAND(ones)))
@@ -111,6 +120,17 @@ def estimate(a: str, b: str) -> Column:
     return (match - chance) / (1 - chance)
 
 
+def _alike(a: str, b: str) -> Column:
+    """Sizes that allow the threshold, then an estimate that does; ``a`` and ``b`` end the columns' names."""
+    n_a, n_b = F.col(f"n{a}"), F.col(f"n{b}")
+    signatures = [[F.col(f"sig{i}{end}") for i in range(LONGS)] for end in (a, b)]
+    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT) & (_similarity(*signatures) >= ESTIMATE)
+
+
+def _ending(df: DataFrame, end: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{c}{end}") for c in df.columns])
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of the pairs (a, b), those similar enough on their full sets."""
     both = (pairs.join(sets.select(F.col("_id").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -129,9 +149,10 @@ def _linked(a: str, b: str) -> Column:
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    return (pairs.join(reps.select(F.col("_id").alias("a"), F.col("sig").alias("sig_a")), "a")
-            .join(reps.select(F.col("_id").alias("b"), F.col("sig").alias("sig_b")), "b")
-            .filter(estimate("sig_a", "sig_b") >= ESTIMATE).select("a", "b"))
+    signatures = reps.drop("bands")
+    return (pairs.join(_ending(signatures, "_a"), F.col("a") == F.col("_id_a"))
+            .join(_ending(signatures, "_b"), F.col("b") == F.col("_id_b"))
+            .filter(_alike("_a", "_b")).select("a", "b"))
 
 
 def _across(members: DataFrame, comps: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
@@ -148,16 +169,17 @@ def _across(members: DataFrame, comps: DataFrame, reps: DataFrame, sets: DataFra
             .filter("k > 1").select("bucket", F.col("most.comp").alias("main")))
     held = settle(placed.join(main, "bucket").join(reps, "_id"))
     minor = held.filter("comp <> main")
-    minor = minor.select(*[F.col(c).alias(f"{c}_m") for c in minor.columns])
-    shared_first = F.coalesce(*[F.when(F.get("bands_m", F.lit(i)) == F.get("bands", F.lit(i)), F.lit(i)) for i in range(BANDS)])
+    minor = _ending(minor, "_m")
     near = ((F.col("bucket_m") == F.col("bucket")) & (F.col("comp_m") != F.col("comp"))
-            & ((F.col("comp") == F.col("main")) | (F.col("_id_m") < F.col("_id")))
-            & (estimate("sig_m", "sig") >= ESTIMATE) & (shared_first == F.col("band")))
+            & ((F.col("comp") == F.col("main")) | (F.col("_id_m") < F.col("_id"))) & _alike("_m", ""))
+    # a band's keys are seeded with its number, so equal keys are of one band
+    before = [F.slice(bands, F.lit(1), F.col("band")) for bands in ("bands_m", "bands")]
+    shared_first = ~F.arrays_overlap(*before)
     some_minor = settle(minor.join(held.hint("merge"), near, "left_semi"))
     some_held = settle(held.join(minor.hint("merge"), near, "left_semi"))
     left = some_minor.join(sets.select(F.col("_id").alias("_id_m"), F.col("shingles").alias("shingles_m")), "_id_m")
     right = some_held.join(sets, "_id")
-    return (left.join(right.hint("merge"), near & _linked("shingles_m", "shingles"))
+    return (left.join(right.hint("merge"), near & shared_first & _linked("shingles_m", "shingles"))
             .select(F.least("_id_m", "_id").alias("a"), F.greatest("_id_m", "_id").alias("b")).distinct())
 
 
@@ -172,7 +194,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     placed = settle(small)
     copies = settle(placed.filter("_id <> rep").select("_id").distinct())
     reps = settle(sketch.filter("n > 0").join(copies, "_id", "left_anti").dropDuplicates(["_id", "s1", "s2"])
-                  .select("_id", "sig", "bands"))
+                  .select("_id", "n", *[F.get("sig", F.lit(i)).alias(f"sig{i}") for i in range(LONGS)], "bands"))
     in_bands = reps.select("_id", F.posexplode("bands").alias("band", "bucket"))
     buckets = settle(in_bands.groupBy("bucket").agg(F.min("_id").alias("low"), F.max("_id").alias("high"))
                      .filter("low < high"))
