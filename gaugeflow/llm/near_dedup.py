@@ -105,8 +105,8 @@ def estimate(a: str, b: str) -> Column:
 def _similarity(a: list[Column], b: list[Column]) -> Column:
     """Matching groups of bits, corrected for chance matches.
 
-    Joins keep the longs as columns of their own: read from arrays in the join's condition, the
-    expression outgrows what the JVM compiles.
+    Joins keep the longs as columns of their own: the condition names each long several times, and
+    reading it from an array each time makes the generated code large.
     """
     ones = F.lit(int("1" * (64 // BITS), 1 << BITS))
     unequal = []
