@@ -126,27 +126,42 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """One large-star and one small-star step on links (u, v) with u > v; both are written tables.
+
+    Every node then points to a smaller one of its own component, so rows with one ``v`` are connected.
+    """
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    large = settle(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                   .filter("u <> v").distinct())
+    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    return settle(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                  .unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+
+
+def downward(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) as links (u, v) from the larger node to the smaller."""
+    return edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
+
+
+def _unfinished(links: DataFrame) -> bool:
+    """Whether some node points to two nodes, or to one that points on."""
+    ends = (links.groupBy("u").agg(F.count(F.lit(1)).alias("n")).select(F.col("u").alias("node"), "n", F.lit(0).alias("root"))
+            .unionByName(links.groupBy("v").agg(F.lit(0).cast("long").alias("n"), F.lit(1).alias("root")).withColumnRenamed("v", "node")))
+    return not ends.groupBy("node").agg(F.sum("n").alias("n"), F.sum("root").alias("root")).filter("n + root > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Node and smallest node of its connected component, for the nodes of ``edges`` (a, b).
 
+    ``edges`` is read several times, so it should come from written tables.
     Alternates large-star and small-star steps, whose rounds grow with the logarithm of the
-    component. Each round is a written table, so a lost executor repeats one round only.
+    component, until every link leads to a root. Each round is a written table, so a lost executor
+    repeats one round only.
     """
-    links = settle(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                   .filter("u <> v").distinct())
-    mark = None
-    while True:
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .filter("u <> v").distinct())
-        large = settle(large)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        links = settle(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                       .unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        found = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if found == mark:
-            break
-        mark = found
+    links = contracted(downward(edges))
+    while _unfinished(links):
+        links = contracted(links)
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import components, hash_words, id_and_text, id_of, key_of, mix, run_hashes, signed, slices
+from gaugeflow.llm.common import (components, contracted, downward, hash_words, id_and_text, id_of, key_of, mix, run_hashes,
+                                  signed, slices)
 from gaugeflow.session import settle
 
 SHINGLE = 5
@@ -139,7 +140,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    return (texts.join(wanted.hint("merge"), "_id", "left_semi").select("_id", "_text").dropDuplicates(["_id"])
+    return (texts.join(wanted.hint("merge"), "_id", "left_semi").select("_id", "_text").distinct()
             .mapInArrow(full_sets, "_id long, shingles array<long>"))
 
 
@@ -155,14 +156,14 @@ def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
             .filter(_alike("_a", "_b")).select("a", "b"))
 
 
-def _across(members: DataFrame, comps: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between different components that share a bucket.
+def _across(members: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of a bucket with different labels; members with one label are connected.
 
     A pair is looked at in the first band it shares only. Two semi joins keep the members that have
     any partner by the estimate, once each; full sets are attached to these alone and compared
     inside the last join, so what leaves a join are members or links, never pairs.
     """
-    placed = settle(members.join(comps, members["_id"] == comps["node"], "left")
+    placed = settle(members.join(labels, members["_id"] == labels["node"], "left")
                     .select("bucket", "band", "_id", F.coalesce("root", "_id").alias("comp")))
     sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = (sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"), F.count(F.lit(1)).alias("k"))
@@ -187,17 +188,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Per row: its id, n_shingles, component_id (smallest id of its component), kept."""
     texts = id_and_text(docs, id_col, text_col)
     sketch = settle(texts.mapInArrow(sketches, SKETCH))
-    same = settle(sketch.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("_id").alias("rep"), F.max("_id").alias("top"))
-                  .filter("rep < top").select("s1", "s2", "n", "rep"))
-    small = sketch.select("_id", "n", "s1", "s2").join(same, ["s1", "s2", "n"], "left") \
-        .select("_id", "n", F.coalesce("rep", "_id").alias("rep"))
-    placed = settle(small)
-    copies = settle(placed.filter("_id <> rep").select("_id").distinct())
-    reps = settle(sketch.filter("n > 0").join(copies, "_id", "left_anti").dropDuplicates(["_id", "s1", "s2"])
-                  .select("_id", "n", *[F.get("sig", F.lit(i)).alias(f"sig{i}") for i in range(LONGS)], "bands"))
+    # equal sets have equal signatures and bands, so any row's will do
+    reps = settle(sketch.filter("n > 0").groupBy("s1", "s2", "n")
+                  .agg(F.min("_id").alias("_id"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+                  .select("_id", "n", "s1", "s2", *[F.get("sig", F.lit(i)).alias(f"sig{i}") for i in range(LONGS)], "bands"))
+    placed = settle(sketch.select("_id", "n", "s1", "s2")
+                    .join(reps.select("s1", "s2", "n", F.col("_id").alias("rep")), ["s1", "s2", "n"], "left")
+                    .select("_id", "n", F.coalesce("rep", "_id").alias("rep")))
+    reps = reps.drop("s1", "s2")
     in_bands = reps.select("_id", F.posexplode("bands").alias("band", "bucket"))
-    buckets = settle(in_bands.groupBy("bucket").agg(F.min("_id").alias("low"), F.max("_id").alias("high"))
-                     .filter("low < high"))
+    buckets = in_bands.groupBy("bucket").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).filter("low < high")
     members = settle(in_bands.join(buckets, "bucket"))
     paired = (members.select("_id", F.explode(F.array("low", "high")).alias("head")).filter("_id <> head")
               .select(F.least("_id", "head").alias("a"), F.greatest("_id", "head").alias("b")).distinct())
@@ -206,9 +206,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     links = settle(_confirmed(first, sets))
     # ids that stand for several sets (rows that repeat a doc_id) are joined through their copies
     through = placed.filter("_id <> rep").select(F.col("rep").alias("a"), F.col("_id").alias("b")).distinct()
-    comps = components(links)
-    links = links.unionByName(settle(_across(members.select("bucket", "band", "_id"), comps, reps, sets)))
-    comps = settle(components(links.unionByName(through)))
+    # one step joins most of a group, and nodes with one label are connected: enough to skip their pairs
+    labels = contracted(downward(links)).groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+    across = settle(_across(members.select("bucket", "band", "_id"), labels, reps, sets))
+    comps = components(links.unionByName(across).unionByName(through))
     out = (placed.join(comps, placed["_id"] == comps["node"], "left")
            .select("_id", "n", F.coalesce("root", "_id").alias("comp")))
     return out.select(id_of("_id").alias(id_col), F.col("n").alias("n_shingles"),

@@ -77,3 +77,10 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r.node: r.root for r in op.components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_every_text_of_a_repeated_id_is_linked(spark):
+    a, b = [" ".join(f"{s}{i}" for i in range(60)) for s in "ab"]
+    rows = [(1, a), (5, a), (5, b), (7, b + " more")]
+    got = {(r.doc_id, r.component_id) for r in op.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (5, 1), (7, 1)}
