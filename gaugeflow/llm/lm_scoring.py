@@ -2,9 +2,7 @@
 
 Both models share the vocabulary, the bigram list and the smoothing; only their counts differ. The
 background is the whole table and the target the documents given as examples. Words and bigrams are
-counted over all documents. A word enters the vocabulary, and a bigram the list, when its share of
-either corpus reaches ``SHARE``; other words are one unknown word. A share can be reached by at most
-1 / SHARE entries a corpus, which bounds what is broadcast at every size of the input.
+counted over all documents, and every one that was counted is in the models, at every size.
 
     P1(w)   = (c(w) + ADDED) / (N + ADDED * (V + 1))
     P(w|h)  = KEPT * c(h, w) / c(h) + back(h) * P1(w)     (listed bigrams; else the second term)
@@ -13,6 +11,16 @@ either corpus reaches ``SHARE``; other words are one unknown word. A share can b
 A document scores the mean over its words of -log2 P under either model, and their difference:
 the lower, the closer to the target. Words are lower-cased in A-Z and split at ASCII white space.
 
+No task holds the models. Documents are written in slices of about ``SLICE_BYTES``. A slice asks once
+for each of its distinct words and bigrams and sends its own counts along, as sorted 64-bit hashes
+in buckets of the hash; a bucket adds up its hashes over all slices and answers each slice in the
+order of its question. So a word that makes up a third of the corpus is one entry of each slice, and
+the answers are joined with their slice to score it. Two words or bigrams whose hashes are equal
+would count as one.
+
+A positive ``SHARE`` prunes instead: words and bigrams below that share of both corpora are unknown,
+and at most 2 / SHARE entries are broadcast.
+
 Defined cases: a null or empty text has no words and NULL scores; without target documents the
 target counts are zero and its model is uniform; rows that repeat a doc_id are counted and scored
 each; target ids that repeat count once.
@@ -24,13 +32,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import hash_words, id_and_text, id_of, key_of, signed, slices
+from gaugeflow.functions.skew import attach
+from gaugeflow.llm.common import STEP, hash_words, id_and_text, id_of, key_of, mix, signed, slices
 from gaugeflow.session import settle
 
-SHARE = 2e-6
+SHARE = 0.0  # nothing is pruned
+ORACLE_SHARE = 2e-6  # of the SQL; it prunes nothing below 500,000 words
+SLICE_BYTES = 12_000_000  # text that a task scores at once; one text is never split
+BUCKET_BYTES = 16_000_000  # text of the corpus for each bucket of hashes
+BUCKETS = 256  # at least
+START = np.uint64(0x2545F4914F6CDD1D)  # stands before the first word of a text
+COUNTS = ["b", "t", "end_b", "end_t"]  # in background and target; as the last word of a text
 ADDED = 0.5
 KEPT = 0.7
 BUFFER = 2_000_000  # keys a task holds before it adds them up
@@ -147,21 +164,223 @@ def score_batch(model: dict, data: np.ndarray, offsets: np.ndarray) -> tuple[np.
     return n, out
 
 
-def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: its id, n_words, ce_target, ce_background, ce_diff. ``target_ids`` has the id column."""
-    texts = id_and_text(docs, id_col, text_col)
-    wanted = target_ids.filter(F.col(id_col).isNotNull()).select(key_of(id_col).alias("_id")).distinct()
+def _score_listed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     target = settle(texts.join(wanted.hint("merge"), "_id", "left_semi").select("_id", "_text"))
-    model = docs.sparkSession.sparkContext.broadcast(fit(texts, target))
+    model = texts.sparkSession.sparkContext.broadcast(fit(texts, target))
 
     def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in slices(batches):
             n, (b, t) = score_batch(model.value, data, offsets)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), *[pa.array(x, from_pandas=True) for x in (t, b, t - b)]],
-                names=["_id", "n_words", "ce_target", "ce_background", "ce_diff"])
-
-    out = texts.mapInArrow(losses, "_id long, n_words long, ce_target double, ce_background double, ce_diff double")
+            yield _scores_of(batch.column(0), n, b, t)
+
+    return texts.mapInArrow(losses, SCORES)
+
+
+def _numbered(slice_bytes: int):
+    """Adds the slice of a row and its place there; a slice lies in one partition."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, place, held = TaskContext.get().partitionId() << 32, 0, 0
+        for batch in batches:
+            numbers, places = [], []
+            for size in pc.binary_length(batch.column(1)).to_pylist():
+                if held and held + size > slice_bytes:
+                    at, place, held = at + 1, 0, 0
+                numbers.append(at)
+                places.append(place)
+                place, held = place + 1, held + size
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64()), pa.array(places, pa.int64())],
+                                             names=["_id", "_text", "_target", "slice", "place"])
+    return number
+
+
+def _words(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and where each text's begin."""
+    parts = [hash_words(data, offsets, lower=True) for _, data, offsets in slices(iter(batches))]
+    starts = np.cumsum([0] + [len(words) for words, _ in parts])
+    first = [f[:-1] + n for (_, f), n in zip(parts, starts)]
+    return np.concatenate([words for words, _ in parts]), np.concatenate([*first, starts[-1:]])
+
+
+def _bigrams(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[first[:-1][np.diff(first) > 0]] = START
+    return mix(mix(before + STEP) ^ words)
+
+
+def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
+        None, pa.py_buffer((bounds * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _packed(counts: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Counts between bounds as binaries: a byte each, and behind them those of 255 and more."""
+    small, large = np.minimum(counts, 255).astype(np.uint8), counts.astype(np.int64)
+    if not len(counts) or small.max() < 255:
+        return _binaries(small, bounds)
+    at = zip(bounds[:-1].tolist(), bounds[1:].tolist())
+    return pa.array([small[a:b].tobytes() + large[a:b][small[a:b] == 255].tobytes() for a, b in at], pa.binary())
+
+
+def _unpacked(binaries: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    sizes = sizes.tolist()
+    counts = np.frombuffer(b"".join(x[:n] for x, n in zip(binaries, sizes)), np.uint8).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(b"".join(x[n:] for x, n in zip(binaries, sizes)), np.int64)
+    return counts
+
+
+QUESTION = "kind int, bucket long, slice long, first long, size long, keys binary, b binary, t binary, end_b binary, end_t binary"
+ANSWER = ("kind int, bucket long, slice long, first long, size long, b binary, t binary, end_b binary, end_t binary, "
+          "n_keys long, n_b long, n_t long, n_end_b long, n_end_t long")
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _asked(kind: int, number: int, place: int, keys: np.ndarray, counts: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """A slice's question to each bucket: its sorted keys there and their counts in the slice."""
+    of = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    asked, starts = np.unique(of, return_index=True)
+    bounds = np.concatenate((starts, [len(keys)]))
+    n = len(asked)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, kind, np.int32)), signed(asked), pa.array(np.full(n, number, np.int64)), pa.array(np.full(n, place, np.int64)),
+         pa.array(np.diff(bounds)), _binaries(keys, bounds), *[_packed(c, bounds) for c in counts],
+         *[pa.nulls(n, pa.binary())] * (4 - len(counts))], names=_names(QUESTION))
+
+
+def _asking(kind: int, buckets: int):
+    def questions(number: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, first = _words(held)
+        if not len(words):
+            return
+        n, place = np.diff(first), held[0].column("place")[0].as_py()
+        target = np.repeat(np.concatenate([b.column("_target").to_numpy(zero_copy_only=False) for b in held]).astype(bool), n)
+        last = first[1:][n > 0] - 1
+        if kind:
+            words = _bigrams(words, first)
+        keys, at = np.unique(words, return_inverse=True)
+        places = [at, at[target]] if kind else [at, at[target], at[last], at[last[target[last]]]]
+        yield _asked(kind, number, place, keys, [np.bincount(x, minlength=len(keys)) for x in places], buckets)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = None, []
+        for batch in batches:
+            numbers = batch.column("slice").to_numpy()
+            cuts = np.concatenate(([0], np.flatnonzero(np.diff(numbers)) + 1, [len(numbers)]))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if a == b:
+                    continue
+                if held and numbers[a] != number:
+                    yield from questions(number, held)
+                    held = []
+                number = int(numbers[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from questions(number, held)
+    return ask
+
+
+def _answered(asked: pa.Table) -> pa.Table:
+    """A bucket's answers, the counts of all slices, and one row of its totals without a slice."""
+    sizes = asked.column("size").to_numpy()
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    keys, at = np.unique(np.frombuffer(b"".join(asked.column("keys").to_pylist()), np.uint64), return_inverse=True)
+    n, found, totals = len(sizes), [], []
+    for name in COUNTS:
+        if asked.column(name).null_count:  # bigrams don't end texts
+            found.append(pa.nulls(n, pa.binary()))
+            totals.append(0)
+            continue
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, at, _unpacked(asked.column(name).to_pylist(), sizes))
+        found.append(_packed(total[at], bounds))
+        totals.append(int(total.sum()))
+    same = ["kind", "bucket", "slice", "first", "size"]
+    answers = pa.Table.from_arrays([*[asked.column(c).combine_chunks() for c in same], *found, *[pa.nulls(n, pa.int64())] * 5], names=_names(ANSWER))
+    summary = pa.Table.from_arrays(
+        [asked.column("kind").combine_chunks()[:1], asked.column("bucket").combine_chunks()[:1], *[pa.nulls(1, pa.int64())] * 3,
+         *[pa.nulls(1, pa.binary())] * 4, *[pa.array([x], pa.int64()) for x in (len(keys), *totals)]], names=_names(ANSWER))
+    return pa.concat_tables([answers, summary])
+
+
+def _losses(words: np.ndarray, first: np.ndarray, answers: dict[int, list[np.ndarray]], n_words: int,
+            totals: tuple[int, int], texts: tuple[int, int]) -> list[np.ndarray]:
+    """Mean loss per word of each text in background and target from the counts of its words and bigrams."""
+    n = np.diff(first)
+    at = np.unique(words, return_inverse=True)[1]
+    pair = np.unique(_bigrams(words, first), return_inverse=True)[1]
+    some = n > 0
+    out = []
+    for i in (0, 1):
+        count, end = answers[0][i], answers[0][i + 2]
+        before = np.empty_like(at)
+        before[1:] = at[:-1]
+        before[first[:-1][some]] = len(count)
+        uses = np.concatenate((count, [texts[i]])).astype(np.float64)
+        followed = np.concatenate((count - end, [texts[i]])) / np.maximum(uses, 1)
+        single = (count + ADDED) / (totals[i] + ADDED * (n_words + 1))
+        p = KEPT * answers[1][i][pair] / np.maximum(uses, 1)[before] + (1 - KEPT * followed)[before] * single[at]
+        total = np.full(len(n), np.nan)
+        if some.any():
+            total[some] = np.add.reduceat(-np.log2(p), first[:-1][some]) / n[some]
+        out.append(total)
+    return out
+
+
+SCORES = "_id long, n_words long, ce_target double, ce_background double, ce_diff double"
+
+
+def _scores_of(ids: pa.Array, n: np.ndarray, b: np.ndarray, t: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([ids, pa.array(n), *[pa.array(x, from_pandas=True) for x in (t, b, t - b)]], names=_names(SCORES))
+
+
+def _scoring(n_words: int, totals: tuple[int, int], texts: tuple[int, int]):
+    def scored(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        """One slice: its rows in order, cut where a question began."""
+        docs = docs.sort_by("place")
+        answers = answers.sort_by([("first", "ascending"), ("kind", "ascending"), ("bucket", "ascending")])
+        place, begun = docs.column("place").to_numpy(), answers.column("first").to_numpy()
+        kind, sizes = answers.column("kind").to_numpy(), answers.column("size").to_numpy()
+        cuts = [0, *np.searchsorted(place, np.unique(begun)).tolist(), len(place)]
+        out = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a == b:
+                continue
+            rows = docs.slice(a, b - a).combine_chunks()
+            words, first = _words(rows.select(["_id", "_text"]).to_batches())
+            found = {}
+            for k in (0, 1):
+                mine = np.flatnonzero((begun == place[a]) & (kind == k))
+                found[k] = [_unpacked(answers.column(c).take(mine).to_pylist(), sizes[mine]) for c in COUNTS[:4 - 2 * k]]
+            b, t = _losses(words, first, found, n_words, totals, texts)
+            out.append(_scores_of(rows.column("_id").combine_chunks(), np.diff(first), b, t))
+        return pa.Table.from_batches(out)
+    return scored
+
+
+def _score_all(texts: DataFrame, wanted: DataFrame, slice_bytes: int, buckets: int) -> DataFrame:
+    flagged = attach(texts, settle(wanted.withColumn("_target", F.lit(True))), ["_id"], "left").select(
+        "_id", "_text", F.col("_target").isNotNull().alias("_target"))
+    docs = settle(flagged.mapInArrow(_numbered(slice_bytes), "_id long, _text string, _target boolean, slice long, place long"))
+    size = docs.agg(F.sum(F.octet_length("_text").cast("long"))).first()[0] or 0
+    buckets = max(buckets, size // BUCKET_BYTES)
+    words, pairs = (docs.mapInArrow(_asking(kind, buckets), QUESTION).groupBy("kind", "bucket").applyInArrow(_answered, ANSWER)
+                    for kind in (0, 1))
+    words = settle(words)
+    n_words, *sums = words.filter("slice is null").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in _names(ANSWER)[-5:]]).first()
+    answers = words.unionByName(pairs).filter("slice is not null").select("kind", "bucket", "slice", "first", "size", *COUNTS)
+    return docs.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(
+        _scoring(n_words, (sums[0], sums[1]), (sums[2], sums[3])), SCORES)
+
+
+def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          slice_bytes: int = SLICE_BYTES, buckets: int = BUCKETS) -> DataFrame:
+    """Per row: its id, n_words, ce_target, ce_background, ce_diff. ``target_ids`` has the id column."""
+    texts = id_and_text(docs, id_col, text_col)
+    wanted = target_ids.filter(F.col(id_col).isNotNull()).select(key_of(id_col).alias("_id")).distinct()
+    out = _score_listed(texts, wanted) if SHARE else _score_all(texts, wanted, slice_bytes, buckets)
     return out.select(id_of("_id").alias(id_col), "n_words", "ce_target", "ce_background", "ce_diff")
 
 
@@ -182,12 +401,12 @@ flagged as (select words.*, doc_id in (select doc_id from labels where quality =
 totals as (select count(*) nb, count(*) filter (is_target) nt,
            count(*) filter (p = 1) hb, count(*) filter (p = 1 and is_target) ht from flagged),
 counts as (select w, count(*) cb, count(*) filter (is_target) ct from flagged group by w),
-vocab as (select w, cb, ct from counts, totals where cb >= {SHARE} * nb or ct >= {SHARE} * greatest(nt, 1)),
+vocab as (select w, cb, ct from counts, totals where cb >= {ORACLE_SHARE} * nb or ct >= {ORACLE_SHARE} * greatest(nt, 1)),
 size as (select count(*) v, sum(cb) vb, sum(ct) vt from vocab),
 ids as (select f.row, f.doc_id, f.p, f.is_target, coalesce(vocab.w, '\\n') w from flagged f left join vocab using (w)),
 pairs as (select *, coalesce(lag(w) over (partition by row order by p), ' ') h from ids),
 joint as (select h, w, count(*) cb, count(*) filter (is_target) ct from pairs group by 1, 2),
-listed as (select joint.* from joint, totals where cb >= {SHARE} * nb or ct >= {SHARE} * greatest(nt, 1)),
+listed as (select joint.* from joint, totals where cb >= {ORACLE_SHARE} * nb or ct >= {ORACLE_SHARE} * greatest(nt, 1)),
 single as (select w, (cb + {ADDED}) / (nb + {ADDED} * (v + 1)) pb, (ct + {ADDED}) / (nt + {ADDED} * (v + 1)) pt
            from (select w, cb, ct from vocab union all select '\\n', nb - vb, nt - vt from totals, size), totals, size),
 before as (select w h, cb, ct from vocab union all select '\\n', nb - vb, nt - vt from totals, size

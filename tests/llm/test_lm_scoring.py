@@ -1,5 +1,12 @@
+import math
+import random
+from collections import Counter
+
 import duckdb
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+from pyspark.sql import Row
 
 import compare
 from gaugeflow.llm import lm_scoring as op
@@ -48,3 +55,60 @@ def test_probabilities_sum_to_one(spark):
         for h in range(size + 2):
             listed = joint[model["codes"] // (size + 2) == h].sum()
             assert abs(listed + back[h] * single.sum() - 1) < 1e-9
+
+
+def plain_scores(rows, wanted):
+    """Plain version: every word and bigram counts."""
+    texts = [(i, (t or "").lower().split()) for i, t in rows]
+    models = []
+    for some in ([w for _, w in texts], [w for i, w in texts if i in wanted]):
+        one = Counter(x for w in some for x in w)
+        two = Counter(p for w in some for p in zip(["\n", *w], w))
+        one["\n"] = sum(bool(w) for w in some)
+        follow = Counter()
+        for (h, _), n in two.items():
+            follow[h] += n
+        models.append((one, two, follow, sum(map(len, some))))
+    size = len({x for _, w in texts for x in w})
+    out = []
+    for i, w in texts:
+        loss = []
+        for one, two, follow, total in models:
+            some = 0
+            for h, x in zip(["\n", *w], w):
+                single = (one[x] + op.ADDED) / (total + op.ADDED * (size + 1))
+                some -= math.log2(op.KEPT * two[h, x] / max(one[h], 1) + (1 - op.KEPT * follow[h] / max(one[h], 1)) * single)
+            loss.append(some / len(w) if w else None)
+        out.append((i, len(w), loss[1], loss[0]))
+    return out
+
+
+def agree(got, expected):
+    got = sorted((r.doc_id, r.n_words, r.ce_target, r.ce_background) for r in got)
+    assert len(got) == len(expected) and all(a == pytest.approx(b) for a, b in zip(got, sorted(expected)))
+
+
+def test_rare_words_of_a_large_table_count(spark):
+    rows = [(1, "z " * 1_200_000), (2, "once seen words"), (3, "twice seen"), (4, "z once z")]
+    df = frame(spark, rows)
+    agree(op.score(df, df.filter("doc_id in (2, 4)").select("doc_id")).collect(), plain_scores(rows, {2, 4}))
+
+
+def test_slices_and_buckets_do_not_change_scores(spark):
+    r = random.Random(3)
+    rows = [(i % 150, " ".join(f"w{int(r.expovariate(.05))}" for _ in range(r.randint(0, 60)))) for i in range(200)]
+    df = frame(spark, rows)
+    good = df.filter("doc_id < 40").select("doc_id")
+    for size, buckets in ((1, 1), (500, 7), (10_000, 300)):
+        agree(op.score(df, good, slice_bytes=size, buckets=buckets).collect(), plain_scores(rows, set(range(40))))
+
+
+def test_a_slice_read_by_two_tasks(spark):
+    rows = [(i, f"a b{i % 3} c{i % 7} a") for i in range(20)]
+    table = frame(spark, rows).selectExpr("doc_id _id", "text _text", "doc_id < 5 _target", "0L slice", "doc_id place").toArrow()
+    asked = [b for k in (0, 1) for part in (table.slice(0, 9), table.slice(9)) for b in op._asking(k, 4)(iter(part.to_batches()))]
+    asked = pa.Table.from_batches(asked)
+    answers = pa.concat_tables([op._answered(asked.filter((pc.field("kind") == k) & (pc.field("bucket") == b))) for k in (0, 1)
+                                for b in set(asked.filter(pc.field("kind") == k).column("bucket").to_pylist())])
+    got = op._scoring(11, (80, 20), (20, 5))(table, answers.filter(pc.field("slice") == 0)).to_pylist()
+    agree([Row(doc_id=x["_id"], **x) for x in got], plain_scores(rows, set(range(5))))
