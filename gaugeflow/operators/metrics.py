@@ -1,7 +1,8 @@
 """Goodness of fit of simulated (``s``) against observed (``o``) values.
 
 All scores of a group come from one aggregation over shared moments. Groups with fewer than two
-valid pairs have NULL scores.
+valid pairs have NULL scores. Objective tuples leave such groups out unless ``every_key`` is set,
+which keeps every key of the pairs, with the worst kge and NULL for the rest.
 """
 
 from __future__ import annotations
@@ -23,6 +24,12 @@ def valid_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.filter(F.col("s").isNotNull() & F.col("o").isNotNull())
 
 
+def blanked_pairs(pairs: DataFrame) -> DataFrame:
+    """All rows; an invalid pair has neither value."""
+    valid = F.col("s").isNotNull() & F.col("o").isNotNull()
+    return pairs.withColumns({c: F.when(valid, F.col(c)) for c in ("s", "o")})
+
+
 def moment_columns(s: Column, o: Column, prefix: str = "") -> list[Column]:
     return [
         F.count(F.when(s.isNotNull() & o.isNotNull(), F.lit(1))).alias(f"{prefix}n"),
@@ -108,11 +115,21 @@ def _log_moments() -> list[Column]:
                           F.when(both, log_or_null(F.col("o"))), "log_")
 
 
-def _moments(pairs: DataFrame, keys: list[str], logs: bool) -> DataFrame:
+def _moments(pairs: DataFrame, keys: list[str], logs: bool, every_key: bool = False) -> DataFrame:
     columns = moment_columns(F.col("s"), F.col("o"))
     if logs:
         columns += _log_moments()
-    return valid_pairs(pairs).groupBy(*keys).agg(*columns)
+    kept = blanked_pairs(pairs) if every_key else valid_pairs(pairs)
+    return kept.groupBy(*keys).agg(*columns)
+
+
+def _tuples(table: DataFrame, keys: list[str], kge: Column, every_key: bool, **parts: Column) -> DataFrame:
+    """Objective tuples of the groups with two valid pairs, or of every group."""
+    enough = M["n"] > 1
+    if not every_key:
+        return table.filter(enough).select(*keys, kge.alias("kge"), *[c.alias(k) for k, c in parts.items()])
+    return table.select(*keys, F.when(enough, kge).otherwise(F.lit(KGE_FLOOR)).alias("kge"),
+                        *[F.when(enough, c).alias(k) for k, c in parts.items()])
 
 
 def goodness_of_fit(pairs: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
@@ -149,27 +166,26 @@ def low_flow_threshold(pairs: DataFrame, keys: list[str], percentile: float) ->
     return values_at_ranks(valid_pairs(pairs), keys, "o", {"threshold": rank})
 
 
-def objectives(pairs: DataFrame, keys: list[str]) -> DataFrame:
+def objectives(pairs: DataFrame, keys: list[str], every_key: bool = False) -> DataFrame:
     """Objective tuple (kge, corr, bias, spread, sae); an undefined kge is the floor."""
-    return _moments(pairs, keys, logs=False).filter(M["n"] > 1).select(
-        *keys, floored(M.kge).alias("kge"), M.correlation.alias("corr"),
-        M.bias_ratio.alias("bias"), M.spread_ratio.alias("spread"), M["sae"])
+    return _tuples(_moments(pairs, keys, False, every_key), keys, floored(M.kge), every_key,
+                   corr=M.correlation, bias=M.bias_ratio, spread=M.spread_ratio, sae=M["sae"])
 
 
-def statistics(pairs: DataFrame, keys: list[str]) -> DataFrame:
+def statistics(pairs: DataFrame, keys: list[str], every_key: bool = False) -> DataFrame:
     """Objective tuple plus the Nash-Sutcliffe efficiency."""
-    return _moments(pairs, keys, logs=False).filter(M["n"] > 1).select(
-        *keys, floored(M.kge).alias("kge"), M.correlation.alias("corr"),
-        M.bias_ratio.alias("bias"), M.spread_ratio.alias("spread"), M["sae"],
-        METRICS["nse"]().alias("nse"))
+    return _tuples(_moments(pairs, keys, False, every_key), keys, floored(M.kge), every_key,
+                   corr=M.correlation, bias=M.bias_ratio, spread=M.spread_ratio, sae=M["sae"],
+                   nse=METRICS["nse"]())
 
 
 def objectives_low_flow(pairs: DataFrame, keys: list[str], percentile: float,
-                        peaks_only: bool = False) -> DataFrame:
+                        peaks_only: bool = False, every_key: bool = False) -> DataFrame:
     """Objective tuple with bias from low flow (or peaks only) and spread from the peaks."""
     if not 0 < percentile <= 1:
         raise ValueError("the percentile lies in (0, 1]")
-    flagged = attach_stats(valid_pairs(pairs), low_flow_threshold(pairs, keys, percentile), keys)
+    kept, how = (blanked_pairs(pairs), "left") if every_key else (valid_pairs(pairs), "inner")
+    flagged = attach_stats(kept, low_flow_threshold(pairs, keys, percentile), keys, how)
     s, o = F.col("s"), F.col("o")
     peak = o > F.col("threshold")
     low = peak if peaks_only else ~peak
@@ -178,12 +194,12 @@ def objectives_low_flow(pairs: DataFrame, keys: list[str], percentile: float,
         *moment_columns(F.when(peak, s), F.when(peak, o), "peak_"),
         *moment_columns(F.when(low, s), F.when(low, o), "low_"))
     bias, spread = Moments("low_").bias_ratio, Moments("peak_").spread_ratio
-    return table.filter(M["n"] > 1).select(
-        *keys, floored(efficiency(M.correlation, bias, spread)).alias("kge"),
-        M.correlation.alias("corr"), bias.alias("bias"), spread.alias("spread"), M["sae"])
+    return _tuples(table, keys, floored(efficiency(M.correlation, bias, spread)), every_key,
+                   corr=M.correlation, bias=bias, spread=spread, sae=M["sae"])
 
 
-def objectives_log_weighted(pairs: DataFrame, keys: list[str], weight: float) -> DataFrame:
+def objectives_log_weighted(pairs: DataFrame, keys: list[str], weight: float,
+                            every_key: bool = False) -> DataFrame:
     """Objective tuple blended with the tuple of the logs; the sixth power drops the sign.
 
     Components that need a log are NULL when a value of the group is not positive.
@@ -196,11 +212,9 @@ def objectives_log_weighted(pairs: DataFrame, keys: list[str], weight: float) ->
         return F.pow(F.pow((1 - weight) * plain, F.lit(6.0))
                      + F.pow(weight * logged, F.lit(6.0)), F.lit(1.0 / 6.0))
 
-    return _moments(pairs, keys, logs=True).filter(M["n"] > 1).select(
-        *keys, blend(floored(M.kge), L.kge).alias("kge"),
-        blend(M.correlation, L.correlation).alias("corr"),
-        blend(M.bias_ratio, L.bias_ratio).alias("bias"),
-        blend(M.spread_ratio, L.spread_ratio).alias("spread"), M["sae"])
+    return _tuples(_moments(pairs, keys, True, every_key), keys, blend(floored(M.kge), L.kge), every_key,
+                   corr=blend(M.correlation, L.correlation), bias=blend(M.bias_ratio, L.bias_ratio),
+                   spread=blend(M.spread_ratio, L.spread_ratio), sae=M["sae"])
 
 
 def mae_skill(pairs: DataFrame, keys: list[str], percentile: float = 0.0,

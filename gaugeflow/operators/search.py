@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from gaugeflow.functions.random import normal, uniform
 from gaugeflow.functions.skew import attach
 from gaugeflow.operators import history as runs_of
+from gaugeflow.operators.metrics import KGE_FLOOR
 from gaugeflow.operators.metrics import objectives as fit_objectives
 from gaugeflow.session import settle
 
@@ -129,16 +130,17 @@ def vary(parents: DataFrame, gen: int, settings: SearchSettings, n_params: int)
 
 
 def evaluate(individuals: DataFrame, ranges: Ranges, model: Model) -> DataFrame:
-    """Objectives of every individual from one call of the model."""
+    """Objectives of every individual from one call of the model; without any they are NULL, and kge the floor."""
     ready = settle(individuals.withColumn("params", ranges.unscale(F.col("x"))))
-    return ready.join(model(ready), ["obsid", "run"])
+    scored = ready.join(model(ready), ["obsid", "run"], "left")
+    return scored.withColumn("kge", F.coalesce("kge", F.lit(KGE_FLOOR))) if "kge" in scored.columns else scored
 
 
 def series_model(simulate: Callable[[DataFrame], DataFrame], obs: DataFrame) -> Model:
     """Model from a simulator ``simulate(individuals) -> (obsid, run, ts, s)`` and observations."""
     def model(individuals: DataFrame) -> DataFrame:
         pairs = simulate(individuals).join(obs.select("obsid", "ts", "o"), ["obsid", "ts"])
-        return fit_objectives(pairs, ["obsid", "run"])
+        return fit_objectives(pairs, ["obsid", "run"], every_key=True)
     return model
 
 

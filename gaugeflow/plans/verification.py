@@ -48,11 +48,11 @@ def index_of_agreement(spark, sf_dir):
 
 
 def objectives_by_run(spark, sf_dir):
-    return rounded(metrics.objectives(v.pairs_by_run(spark, sf_dir), RUN_KEY), *RUN_KEY)
+    return rounded(metrics.objectives(v.pairs_by_run(spark, sf_dir), RUN_KEY, every_key=True), *RUN_KEY)
 
 
 def statistics_by_station(spark, sf_dir):
-    return rounded(metrics.statistics(_pairs_with_gaps(spark, sf_dir), KEY), *KEY)
+    return rounded(metrics.statistics(_pairs_with_gaps(spark, sf_dir), KEY, every_key=True), *KEY)
 
 
 def low_flow_threshold(spark, sf_dir):
@@ -60,15 +60,15 @@ def low_flow_threshold(spark, sf_dir):
 
 
 def objectives_low_flow(spark, sf_dir):
-    return rounded(metrics.objectives_low_flow(_stored(spark, sf_dir), KEY, LOW_FLOW), *KEY)
+    return rounded(metrics.objectives_low_flow(_stored(spark, sf_dir), KEY, LOW_FLOW, every_key=True), *KEY)
 
 
 def objectives_peaks_only(spark, sf_dir):
-    return rounded(metrics.objectives_low_flow(_stored(spark, sf_dir), KEY, LOW_FLOW, True), *KEY)
+    return rounded(metrics.objectives_low_flow(_stored(spark, sf_dir), KEY, LOW_FLOW, True, every_key=True), *KEY)
 
 
 def objectives_log_weighted(spark, sf_dir):
-    return rounded(metrics.objectives_log_weighted(v.pairs_daily(spark, sf_dir), KEY, LOG_WEIGHT), *KEY)
+    return rounded(metrics.objectives_log_weighted(v.pairs_daily(spark, sf_dir), KEY, LOG_WEIGHT, every_key=True), *KEY)
 
 
 def mae_skill_peaks(spark, sf_dir):

@@ -124,3 +124,19 @@ def test_every_summary_is_available(spark):
 def test_monthly_split_keeps_valid_pairs(spark):
     pairs = frame(spark, {1: ([1.0, None, 3.0], [1.0, 2.0, 3.0])})
     assert metrics.split_monthly(pairs).filter(F.col("month") == 1).count() == 2
+
+
+def test_every_key_is_kept(spark):
+    pairs = frame(spark, {
+        1: ([1.0, None, 3.0], [None, 2.0, 3.0]),     # a single valid pair
+        2: ([1.0, None], [None, 2.0]),               # none
+        3: ([1.0, 2.0, 4.0, None], [1.0, 3.0, 4.0, 5.0]),
+    })
+    for score in (lambda p, **k: metrics.objectives(p, ["obsid"], **k), lambda p, **k: metrics.statistics(p, ["obsid"], **k),
+                  lambda p, **k: metrics.objectives_low_flow(p, ["obsid"], 0.5, **k),
+                  lambda p, **k: metrics.objectives_low_flow(p, ["obsid"], 0.5, True, **k),
+                  lambda p, **k: metrics.objectives_log_weighted(p, ["obsid"], 0.4, **k)):
+        got = {r.obsid: tuple(r)[1:] for r in score(pairs, every_key=True).collect()}
+        assert set(got) == {1, 2, 3}
+        assert all(got[k][0] == -100.0 and set(got[k][1:]) == {None} for k in (1, 2))
+        assert got[3] == tuple(score(pairs).first())[1:]

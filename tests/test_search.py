@@ -145,3 +145,18 @@ def test_scaling_round_trip(spark):
         ranges.unscale(F.col("x")).alias("p"), ranges.scale(ranges.unscale(F.col("x"))).alias("x"),
         ranges.perturbed(F.col("x"), 0.1).alias("t")).first()
     assert row.p == [2.5, 4.0] and row.x == [0.25, 0.5] and row.t == pytest.approx([2.75, 4.4])
+
+
+def test_individuals_without_pairs_stay(spark):
+    people = spark.createDataFrame([(1, 0, 1, [.5]), (1, 0, 2, [.6]), (2, 0, 1, [.5])], "obsid long, gen int, run int, x array<double>")
+    obs = spark.createDataFrame([(1, 1, 1.0), (1, 2, 3.0)], "obsid long, ts int, o double")
+
+    def simulate(individuals: DataFrame) -> DataFrame:
+        return individuals.filter("obsid = 1").select(
+            "obsid", "run", F.explode(F.array(F.lit(1), F.lit(2))).alias("ts")).select(
+            "*", F.when(F.col("run") == 1, F.col("ts") * 1.0).alias("s"))
+
+    ranges = search.Ranges(["p"], [0.0], [1.0], [0.5])
+    got = {(r.obsid, r.run): (r.kge, r.sae) for r in search.evaluate(people, ranges, search.series_model(simulate, obs)).collect()}
+    assert set(got) == {(1, 1), (1, 2), (2, 1)}
+    assert got[1, 2] == got[2, 1] == (-100.0, None) and got[1, 1][0] > -100 and got[1, 1][1] == 1.0
