@@ -1,14 +1,16 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and decoding.
 
 A merge agenda takes the best-scored pair of neighbouring pieces (leftmost of equals) until none is
-left. Each candidate merge is skipped when a hash keyed by the seed, the text's variant, the chunk
-and the candidate's place in it falls below ``dropout``. A document's variant is a keyed hash of its
-id modulo ``variants``, so equal documents may be segmented differently, and any executor that
-repeats a task repeats its segmentation. With ``dropout`` 0 the result is the library's own.
+left. Each candidate merge is skipped when a hash keyed by the seed, the document's id and the
+candidate's place in the document falls below ``dropout``. So every occurrence of a word is drawn
+anew, equal documents of different ids are segmented differently, and any executor that repeats a
+task repeats its segmentation. With ``dropout`` 0 the result is the library's own.
 
 No piece goes on past a space that follows another character, so a text is encoded in chunks that
 begin at spaces, at characters that are in no longer piece and at those that need byte pieces. All
-distinct chunks of a batch run their agendas in step as rows of arrays; very long chunks use a heap.
+distinct chunks of a batch run their agendas without dropout, in step as rows of arrays; very long
+chunks use a heap. An occurrence shares that result only if none of the candidates it offered is
+skipped there; every other occurrence runs its own agenda.
 
 Decoding joins the bytes of the pieces and is lossless for any text: the sign that stands for a
 space in pieces is written as byte pieces where a text holds it itself.
@@ -31,9 +33,10 @@ from gaugeflow.llm.common import id_and_text, id_of, mix, run_hashes, slices
 
 MARK = "▁"
 DROPOUT = 0.1
-VARIANTS = 4
 LONGEST = 64  # characters of a chunk that still runs in step
 SLOTS = 1 << 20
+ROWS = 1 << 16  # agendas in step at once
+DRAWS = 1 << 21  # candidates drawn at once
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 PLACE = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
@@ -111,8 +114,8 @@ def _placed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Encoder:
-    def __init__(self, model: Model, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS):
-        self.model, self.seed, self.dropout, self.variants = model, seed, dropout, variants
+    def __init__(self, model: Model, seed: int = 0, dropout: float = DROPOUT):
+        self.model, self.seed, self.dropout = model, seed, dropout
 
     def _skipped(self, key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
         place = sum(x.astype(np.uint64) * m for x, m in zip((start, middle, end), PLACE))
@@ -195,6 +198,52 @@ class Encoder:
             offer([before[a], a])
         return np.array([x for x in held if x is not None], np.int32)
 
+    def _agendas(self, pieces: np.ndarray, starts: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Final pieces of chunks in a row, and where each chunk's begin and their number."""
+        n, offset, flat, total = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), [np.zeros(0, np.int32)], 0
+        low = 0
+        for high in (1, 3, 4, 6, 8, 10, 12, 16, 24, 32, 48, LONGEST):
+            fitting = np.flatnonzero((sizes > low) & (sizes <= high))
+            low = high
+            for some in (fitting[i:i + ROWS] for i in range(0, len(fitting), ROWS)):
+                column = np.arange(high)
+                rows = np.where(column < sizes[some, None], pieces[np.minimum(starts[some, None] + column, len(pieces) - 1)], -1)
+                if high == 1:
+                    count = np.ones(len(some), np.int64)
+                else:
+                    rows, count = self._in_step(rows, sizes[some], keys[some])
+                mask = column < count[:, None]
+                offset[some] = total + np.concatenate(([0], np.cumsum(count[:-1])))
+                n[some] = count
+                flat.append(rows[mask])
+                total += int(count.sum())
+        for i in np.flatnonzero(sizes > LONGEST):
+            found = self._by_heap(pieces[starts[i]:starts[i] + sizes[i]], keys[i])
+            offset[i], n[i] = total, len(found)
+            flat.append(found)
+            total += len(found)
+        return np.concatenate(flat), offset, n
+
+    def _drawn(self, of: np.ndarray, keys: np.ndarray, offered: list[np.ndarray]) -> np.ndarray:
+        """Occurrences (chunk, key) that skip a candidate which their chunk offers without dropout."""
+        chunk, *places = offered
+        order = np.argsort(chunk, kind="stable")
+        places = [x[order] for x in places]
+        ends = np.searchsorted(chunk[order], np.arange(int(of.max()) + 1), side="right") if len(of) else np.zeros(0, np.int64)
+        begins = np.concatenate(([0], ends[:-1]))
+        n = (ends - begins)[of]
+        upto = np.cumsum(n)
+        own, first = np.zeros(len(of), bool), 0
+        while first < len(of):
+            done = upto[first - 1] if first else 0
+            last = max(int(np.searchsorted(upto, done + DRAWS, side="right")), first + 1)
+            k = n[first:last]
+            who = np.repeat(np.arange(first, last), k)
+            at = np.arange(len(who)) - np.repeat(np.cumsum(k) - k, k) + begins[of[who]]
+            own[who[self._skipped(keys[who], *[x[at] for x in places])]] = True
+            first = last
+        return np.flatnonzero(own)
+
     def encode(self, texts: list[str], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts in a row, and where each text's begin."""
         model = self.model
@@ -209,48 +258,46 @@ class Encoder:
         starts = np.flatnonzero(begin)
         sizes = np.diff(np.concatenate((starts, [len(chars)])))
         text = np.searchsorted(first, starts, side="right") - 1
-        seed = mix(np.array([self.seed], np.uint64) + SPREAD)
-        variant = mix(ids.view(np.uint64) ^ seed) % np.uint64(self.variants)
-        keys = mix(run_hashes(mix(chars.astype(np.uint64)), starts, starts + sizes) ^ mix(variant ^ mix(seed))[text])
-        keys, at, back = np.unique(keys, return_index=True, return_inverse=True)
-        starts, sizes = starts[at], sizes[at]
-        out, n = [None] * len(keys), np.zeros(len(keys), np.int64)
-        flat, offset = [], np.zeros(len(keys), np.int64)
-        total, low = 0, 0
-        for high in (1, 3, 4, 6, 8, 10, 12, 16, 24, 32, 48, LONGEST):
-            some = np.flatnonzero((sizes > low) & (sizes <= high))
-            low = high
-            if not len(some):
-                continue
-            column = np.arange(high)
-            rows = np.where(column < sizes[some, None], pieces[np.minimum(starts[some, None] + column, len(chars) - 1)], -1)
-            if high == 1:
-                count = np.ones(len(some), np.int64)
-            else:
-                rows, count = self._in_step(rows, sizes[some], keys[some])
-            mask = column < count[:, None]
-            offset[some] = total + np.concatenate(([0], np.cumsum(count[:-1])))
-            n[some] = count
-            flat.append(rows[mask])
-            total += int(count.sum())
-        for i in np.flatnonzero(sizes > LONGEST):
-            found = self._by_heap(pieces[starts[i]:starts[i] + sizes[i]], keys[i])
-            offset[i], n[i] = total, len(found)
-            flat.append(found)
-            total += len(found)
-        for i in np.flatnonzero((sizes == 1) & (pieces[starts] < 0)):
-            found = model.byte_ids[list(chr(chars[starts[i]]).encode())]
+        _, at, of = np.unique(run_hashes(mix(chars.astype(np.uint64)), starts, starts + sizes), return_index=True, return_inverse=True)
+        plain = Offers(model)
+        flat, offset, n = plain._agendas(pieces, starts[at], sizes[at], np.arange(len(at), dtype=np.uint64))
+        extra = [flat]
+        total = len(flat)
+        for i in np.flatnonzero((sizes[at] == 1) & (pieces[starts[at]] < 0)):
+            found = model.byte_ids[list(chr(chars[starts[at[i]]]).encode())]
             offset[i], n[i] = total, len(found)
-            flat.append(found)
+            extra.append(found)
             total += len(found)
-        flat = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-        count = n[back]
-        ends = np.cumsum(count)
-        order = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count - offset[back], count)
+        offset, n = offset[of], n[of]
+        if self.dropout:
+            seed = mix(np.array([self.seed], np.uint64) + SPREAD)
+            keys = mix(mix(ids.view(np.uint64) ^ seed)[text] + (starts - first[text]).astype(np.uint64) * SPREAD)
+            own = self._drawn(of, keys, plain.offered())
+            flat, offset[own], n[own] = self._agendas(pieces, starts[own], sizes[own], keys[own])
+            offset[own] += total
+            extra.append(flat)
+        flat = np.concatenate(extra)
+        ends = np.cumsum(n)
+        order = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n - offset, n)
         bounds = np.concatenate(([0], ends))[np.searchsorted(text, np.arange(len(texts) + 1))]
         return flat[order].astype(np.int32), bounds
 
 
+class Offers(Encoder):
+    """Agendas without dropout that note every candidate offered; a chunk's key is its number."""
+
+    def __init__(self, model: Model):
+        super().__init__(model, dropout=1.0)
+        self.noted = []
+
+    def _skipped(self, key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+        self.noted.append([x.astype(np.int64) for x in (key, start, middle, end)])
+        return np.zeros(len(key), bool)
+
+    def offered(self) -> list[np.ndarray]:
+        return [np.concatenate(x) for x in zip(*self.noted)] if self.noted else [np.zeros(0, np.int64)] * 4
+
+
 def decode(model: Model, ids: np.ndarray, bounds: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Bytes of all texts in a row, each still behind its leading space, and where each begins."""
     size = (model.ends[1:] - model.ends[:-1])[ids]
@@ -259,10 +306,10 @@ def decode(model: Model, ids: np.ndarray, bounds: np.ndarray) -> tuple[bytes, np
     return model.blob[order].tobytes(), ends[bounds]
 
 
-def encode_documents(docs: DataFrame, model_path: str, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS,
+def encode_documents(docs: DataFrame, model_path: str, seed: int = 0, dropout: float = DROPOUT,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its id, ids, n_tokens, ids_sha256 (little-endian 32-bit ids), lossless."""
-    shared = docs.sparkSession.sparkContext.broadcast(Encoder(Model(model_path), seed, dropout, variants))
+    shared = docs.sparkSession.sparkContext.broadcast(Encoder(Model(model_path), seed, dropout))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value

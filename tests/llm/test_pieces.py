@@ -68,3 +68,33 @@ def test_documents(spark):
     again = op.encode_documents(df.repartition(3), op.default_model(), seed=5).collect()
     assert sorted((r.ids_sha256 for r in got)) == sorted(r.ids_sha256 for r in again)
     assert op.encode_documents(df.limit(0), op.default_model()).collect() == []
+
+
+def forms(encoder, text, ids):
+    """Segmentations of the words of one text under several document ids."""
+    ids, bounds = encoder.encode([text] * len(ids), np.array(ids))
+    raw = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+    starts = {i for i in range(encoder.model.size) if encoder.model.blob[encoder.model.ends[i]:encoder.model.ends[i + 1]].tobytes().startswith(b" ")}
+    out = []
+    for row in raw:
+        cuts = [i for i, x in enumerate(row) if x in starts] + [len(row)]
+        out.append([tuple(row[a:b]) for a, b in zip(cuts[:-1], cuts[1:])])
+    return out
+
+
+def test_every_occurrence_is_drawn(model):
+    encoder = op.Encoder(model, seed=2, dropout=.3)
+    one = forms(encoder, " ".join(["internationalization"] * 50), [7])[0]
+    assert len(one) == 50 and len(set(one)) > 10
+    assert len({row[0] for row in forms(encoder, "internationalization", list(range(50)))}) > 10
+
+
+def test_sharing_changes_nothing(model, monkeypatch):
+    texts = TEXTS * 20 + ["the same words in the same places of the text"] * 50
+    encoder = op.Encoder(model, seed=4)
+    shared = whole(encoder, texts)
+    monkeypatch.setattr(op, "DRAWS", 7)
+    monkeypatch.setattr(op, "ROWS", 5)
+    assert whole(encoder, texts) == shared
+    monkeypatch.setattr(op.Encoder, "_drawn", lambda self, of, keys, offered: np.flatnonzero(np.isin(of, offered[0])))
+    assert whole(encoder, texts) == shared
