@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from gaugeflow.llm import decontamination, lm_scoring
+from gaugeflow.llm import decontamination, fill_middle, hard_negatives, lm_scoring
 from gaugeflow.llm.decontamination import op4_decontamination
+from gaugeflow.llm.fill_middle import op13_fill_middle
+from gaugeflow.llm.hard_negatives import op12_hard_negatives
 from gaugeflow.llm.line_dedup import op2_line_dedup
 from gaugeflow.llm.lm_scoring import op1_lm_scoring
 from gaugeflow.llm.near_dedup import op5_near_dedup
 from gaugeflow.llm.neighbours import op8_neighbours
 from gaugeflow.llm.personal_data import op7_personal_data
 from gaugeflow.llm.pieces import op6_pieces
+from gaugeflow.llm.quality_rules import op11_quality_rules
 from gaugeflow.llm.secret_scan import op3_secret_scan
 from gaugeflow.llm.substring_dedup import op9_substring_dedup
 from gaugeflow.llm.toxicity import op10_toxicity
 
 QUERIES = {q.__name__: q for q in (
     op1_lm_scoring, op2_line_dedup, op3_secret_scan, op4_decontamination, op5_near_dedup, op6_pieces, op7_personal_data,
-    op8_neighbours, op9_substring_dedup, op10_toxicity)}
+    op8_neighbours, op9_substring_dedup, op10_toxicity, op11_quality_rules, op12_hard_negatives, op13_fill_middle)}
 
 # Removal of runs that occur earlier, on plain lines: pairs of lines, their first place, what they cover.
 LINE_RUNS = """
@@ -49,4 +52,6 @@ ORACLES = {
     "op2_line_dedup": LINE_RUNS,
     "op4_decontamination": decontamination.ORACLE,
     "op9_substring_dedup": WORD_RUNS,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_fill_middle": fill_middle.ORACLE,
 }
