@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.skew import HOT_ROWS, attach, running_total, salted_join
+from gaugeflow.operators.placement import MAX_ROUNDS, first_come, follow
 from gaugeflow.session import settle
 
 NO_STATION = -1  # fixed value: region of cells without a station downstream
 LINK_SLOTS = 20  # fixed value: columns of the wide link table
-MAX_ROUNDS = 62  # doubling passes any acyclic path of a 64-bit cell count by then
 
 
 def station_conflicts(gauges: DataFrame, ldd: DataFrame) -> DataFrame:
@@ -37,25 +37,11 @@ def interstation_regions(ldd: DataFrame, gauges: DataFrame, hot_rows: int = HOT_
     shared = gauges.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy("cell").head(1)
     if shared:
         raise ValueError(f"{shared[0]['n']} stations share cell {shared[0]['cell']}")
-    placed = ldd.join(gauges.select("cell", "obsid"), "cell", "left")
-    state = settle(placed.select(
-        "cell",
-        F.when(F.col("obsid").isNotNull(), F.col("cell")).otherwise(F.col("down")).alias("at"),
-        (F.col("obsid").isNotNull() | F.col("down").isNull()).alias("done")))
-    for _ in range(MAX_ROUNDS):
-        moving = state.filter("NOT done")
-        n_moving = moving.count()
-        if not n_moving:
-            break
-        jump = state.select(F.col("cell").alias("at"), F.col("at").alias("_at"), F.col("done").alias("_done"))
-        moved = salted_join(moving.select("cell", "at"), jump, ["at"], "left", hot_rows,
-                            n_rows=n_moving).select(
-            "cell", F.col("_at").alias("at"), F.coalesce("_done", F.lit(True)).alias("done"))
-        state = settle(state.filter("done").unionByName(moved))
-    else:
-        raise ValueError("the flow-direction table has a cycle")
-    stops = gauges.select(F.col("cell").alias("at"), F.col("obsid").alias("region"))
-    return attach(state.select("cell", "at"), stops, ["at"], "left", hot_rows=hot_rows).select(
+    stops = gauges.select("cell", F.col("obsid").alias("region"))
+    passing = ldd.join(stops, "cell", "left_anti").filter("down IS NOT NULL").select("cell", F.col("down").alias("next"))
+    ends = follow(settle(passing), [], hot_rows).select("cell", F.col("end").alias("at"))
+    still = ldd.join(stops, "cell", "left").filter("region IS NOT NULL OR down IS NULL").select("cell", F.col("cell").alias("at"))
+    return attach(ends.unionByName(still), stops.withColumnRenamed("cell", "at"), ["at"], "left", hot_rows=hot_rows).select(
         "cell", F.coalesce("region", F.lit(NO_STATION)).alias("region"))
 
 
@@ -72,37 +58,44 @@ def station_tree(parents: DataFrame, regions: DataFrame, hot_rows: int = HOT_ROW
 
     One doubling loop keeps, for every station, its 2^k-th station downstream. Depth and root are
     read from there; cell counts and waves are added there (wave = stations on the longest chain
-    upstream, so wave 0 needs no inflow).
+    upstream, so wave 0 needs no inflow). A station that has reached its root is written once and
+    leaves the loop; what later rounds still add to it is kept as rows of their own and summed at
+    the end, so each round writes only the stations that are still on their way.
     """
     own = (regions.filter(F.col("region") != NO_STATION).groupBy(F.col("region").alias("obsid"))
            .agg(F.count(F.lit(1)).alias("own_cells")))
-    state = settle(
-        parents.join(own, "obsid", "left")
-        .select("obsid", "parent", F.col("parent").alias("jump"),
-                F.lit(1).cast("long").alias("depth"), F.col("obsid").alias("root"),
-                F.coalesce("own_cells", F.lit(0)).cast("long").alias("own_cells"),
-                F.coalesce("own_cells", F.lit(0)).cast("long").alias("upstream_cells"),
-                F.lit(0).cast("long").alias("wave")))
-    reach, n_stations = 1, state.count()
+    own_cells = F.coalesce("own_cells", F.lit(0)).cast("long")
+    facts = settle(parents.join(own, "obsid", "left").select("obsid", "parent", own_cells.alias("own_cells")))
+    start = facts.select("obsid", F.col("parent").alias("jump"), F.lit(1).cast("long").alias("depth"), F.col("obsid").alias("root"),
+                         F.col("own_cells").alias("upstream_cells"), F.lit(0).cast("long").alias("wave"))
+    ended, moving, late = [start.filter("jump IS NULL")], start.filter("jump IS NOT NULL"), []
+    growth = ["obsid", "upstream_cells", "wave"]
+    reach = 1
     for _ in range(MAX_ROUNDS):
-        if state.filter("jump IS NOT NULL").isEmpty():
+        n_moving = moving.count()
+        if not n_moving:
             break
-        ahead = state.select(F.col("obsid").alias("jump"), F.col("jump").alias("_jump"),
-                             F.col("depth").alias("_depth"), F.col("root").alias("_root"))
-        behind = (state.filter("jump IS NOT NULL").groupBy(F.col("jump").alias("obsid"))
-                  .agg(F.sum("upstream_cells").alias("_cells"), F.max("wave").alias("_wave")))
+        behind = settle(moving.groupBy(F.col("jump").alias("obsid")).agg(
+            F.sum("upstream_cells").alias("_cells"), (F.max("wave") + F.lit(reach)).alias("_wave")))
+        late.append(behind.join(moving, "obsid", "left_anti").toDF(*growth))
+        ahead = reduce(DataFrame.unionByName, ended, moving).select(
+            F.col("obsid").alias("jump"), F.col("jump").alias("_jump"), F.col("depth").alias("_depth"), F.col("root").alias("_root"))
         state = settle(
-            salted_join(state, ahead, ["jump"], "left", hot_rows, n_rows=n_stations)
+            salted_join(moving, ahead, ["jump"], "left", hot_rows, n_rows=n_moving)
             .join(behind, "obsid", "left").select(
-                "obsid", "parent", F.col("_jump").alias("jump"),
-                (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-                F.coalesce("_root", "root").alias("root"), "own_cells",
+                "obsid", F.col("_jump").alias("jump"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
+                F.coalesce("_root", "root").alias("root"),
                 (F.col("upstream_cells") + F.coalesce("_cells", F.lit(0))).alias("upstream_cells"),
-                F.greatest("wave", F.col("_wave") + F.lit(reach)).alias("wave")))
+                F.greatest("wave", "_wave").alias("wave")))
+        ended, moving = [*ended, state.filter("jump IS NULL")], state.filter("jump IS NOT NULL")
         reach *= 2
     else:
         raise ValueError("the station links have a cycle")
-    return state.drop("jump")
+    reached = reduce(DataFrame.unionByName, ended)
+    totals = (reduce(DataFrame.unionByName, late, reached.select(growth)).groupBy("obsid")
+              .agg(F.sum("upstream_cells").alias("upstream_cells"), F.max("wave").alias("wave")))
+    return settle(facts.join(reached.select("obsid", "depth", "root"), "obsid").join(totals, "obsid").select(
+        "obsid", "parent", "depth", "root", "own_cells", "upstream_cells", "wave"))
 
 
 def cell_frequency(regions: DataFrame, tree: DataFrame) -> DataFrame:
@@ -134,29 +127,12 @@ def links_wide(links: DataFrame, slots: int | None = None) -> DataFrame:
 def inlet_cells(parents: DataFrame, ldd: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(obsid, upstream_id, cell): one cell downstream of each connected station.
 
-    When inlets meet on a cell, the one that comes first (by station, then by cell of the upstream
-    station) stays and the others move one cell on, until no cell holds two. That equals placing
-    them one after the other: an inlet only leaves a cell to an earlier one. An inlet pushed past
-    a pit is lost (NULL cell). Rounds are bounded by the inlets that contest one stretch of river.
+    Inlets are served by station, then by cell of the upstream station; one that finds its cell
+    taken goes on to the next free cell downstream, and one pushed past a pit is lost (NULL cell).
     """
-    turn = F.struct(F.col("parent"), F.col("cell"), F.col("obsid"))
-    state = settle(parents.filter("parent IS NOT NULL").select(
-        F.col("parent").alias("obsid"), F.col("obsid").alias("upstream_id"), turn.alias("turn"),
-        F.col("down").alias("cell")))
-    step = ldd.select("cell", F.col("down").alias("_down"))
-    n_inlets = state.count()
-    while True:
-        first = (state.filter("cell IS NOT NULL").groupBy("cell")
-                 .agg(F.min("turn").alias("_first"), F.count(F.lit(1)).alias("_users"))
-                 .filter("_users > 1"))
-        contested = settle(first.join(step, "cell", "left"))
-        if contested.isEmpty():
-            return state.drop("turn")
-        leaves = F.col("_first").isNotNull() & (F.col("turn") != F.col("_first"))
-        state = settle(
-            salted_join(state, contested, ["cell"], "left", hot_rows, n_rows=n_inlets).select(
-                "obsid", "upstream_id", "turn",
-                F.when(leaves, F.col("_down")).otherwise(F.col("cell")).alias("cell")))
+    inlets = parents.filter("parent IS NOT NULL").select(
+        F.col("parent").alias("obsid"), F.col("obsid").alias("upstream_id"), F.col("cell").alias("_at"), F.col("down").alias("cell"))
+    return first_come(inlets, ldd, ["obsid", "_at", "upstream_id"], hot_rows).select("obsid", "upstream_id", "cell")
 
 
 def nested_groups(tree: DataFrame) -> DataFrame:
@@ -175,22 +151,33 @@ def group_areas(groups: DataFrame) -> DataFrame:
 def allocate_workers(groups: DataFrame, workers: int) -> DataFrame:
     """(obsid, worker): in id order, a worker takes groups until it holds an equal share.
 
-    Only the last id of each worker comes to the driver, one small aggregate per worker.
+    For every group at once, the successor cut is found: the group that fills a worker who begins
+    there is the first whose running total reaches the total before plus a share. It comes from one
+    ordering of totals and goals together. The cuts that are really used are the chain of
+    successors from the first group; it is marked by doubling, so the jobs grow with the logarithm
+    of ``workers``. Groups past the last worker get NULL.
     """
-    areas = settle(running_total(group_areas(groups), [], [F.asc("group_id")], "upto", "area"))
-    quota = (areas.agg(F.sum("area")).first()[0] or 0) / workers
-    last_ids: list[int] = []
-    taken = 0
-    for _ in range(workers):
-        cut = (areas.filter((F.col("upto") > taken) & (F.col("upto") >= taken + quota))
-               .agg(F.min(F.struct("group_id", "upto")).alias("cut")).first().cut)
-        if cut is None:
-            break
-        last_ids.append(cut.group_id)
-        taken = cut.upto
-    worker = reduce(lambda w, last: w + (F.col("group_id") > last).cast("int"), last_ids, F.lit(1))
-    return groups.select("obsid", "group_id",
-                         F.when(worker <= workers, worker).cast("long").alias("worker"))
+    areas = settle(running_total(running_total(group_areas(groups), [], [F.asc("group_id")], "upto", "area"),
+                                 [], [F.asc("group_id")], "place"))
+    total = areas.agg(F.sum("area")).first()[0] or 0
+    if not total:  # nothing fills a worker
+        return groups.select("obsid", "group_id", F.lit(1).cast("long").alias("worker"))
+    goal = (F.col("upto") - F.col("area")) + F.lit(total / workers)
+    points = areas.select(F.col("upto").cast("double").alias("at"), F.lit(1).cast("long").alias("is_total"), F.lit(None).cast("long").alias("place")).unionByName(
+        areas.select(goal.cast("double").alias("at"), F.lit(0).cast("long").alias("is_total"), "place"))
+    # totals below a goal; a worker who begins at `place` is full with the next group, and another begins after it
+    below = running_total(points, [], [F.asc("at"), F.asc("is_total"), F.asc("place")], "below", "is_total")
+    jump = settle(below.filter("is_total = 0").select("place", (F.col("below") + 2).alias("next")).filter(F.col("next") <= areas.count()))
+    begins = areas.filter("place = 1").select("place")
+    for _ in range(workers.bit_length()):  # beginnings among the first 2^k, and the jump over 2^k of them
+        begins = settle(begins.unionByName(begins.join(jump, "place").select(F.col("next").alias("place"))))
+        ahead = jump.select(F.col("place").alias("next"), F.col("next").alias("_next"))
+        jump = settle(jump.join(ahead, "next").select("place", F.col("_next").alias("next")))
+    marked = areas.join(begins.withColumn("begins", F.lit(1).cast("long")), "place", "left").select(
+        "group_id", F.coalesce("begins", F.lit(0)).alias("begins"))
+    numbered = settle(running_total(marked, [], [F.asc("group_id")], "worker", "begins").select("group_id", "worker"))
+    return attach(groups.select("obsid", "group_id"), numbered, ["group_id"]).select(
+        "obsid", "group_id", F.when(F.col("worker") <= workers, F.col("worker")).alias("worker"))
 
 
 def _main_stems(tree: DataFrame, area: str) -> DataFrame:

@@ -103,11 +103,14 @@ def upstream_inflows(spark, sf_dir):
 
 
 def upstream_inflows_wide(spark, sf_dir):
+    """The wide inflow table, unfolded again by slot."""
     links = network.direct_links(_parents(spark, sf_dir)[1])
     links = settle(links)
     slots = links.agg(F.max("inlet_no")).first()[0] or 0
     wide = inflows.inflows_wide(inflows.gather_inflows(links, _simulated(spark, sf_dir)), "ts", slots)
-    return rounded(wide.select("obsid", day(), *[f"q_{i}" for i in range(1, slots + 1)]), "obsid", "ts")
+    flows = [f"q_{i}" for i in range(1, slots + 1)]
+    long = wide.select("obsid", day(), *flows).unpivot(["obsid", "ts"], flows, "slot", "q").filter("q IS NOT NULL")
+    return rounded(long, "obsid", "ts", "slot")
 
 
 def missing_upstream(spark, sf_dir):
@@ -255,6 +258,19 @@ _WALK = f"""with recursive net as ({v.NETWORK}),
     from tree where obsid=root),
   grp as (select obsid, group_id, upstream_cells from tree join roots using (root))"""
 
+# one inlet after the other: the first cell of its way down that no earlier one has
+_PLACED = """turns as (select parent, obsid, down, row_number() over (order by parent, obsid) k from par where parent is not null),
+  placed as (select 0::bigint k, []::bigint[] taken, null::bigint upstream_id, null::bigint obsid, null::bigint cell
+    union all select t.k, list_filter(list_append(f.taken, t.c), lambda x: x is not null), t.obsid, t.parent, t.c
+    from placed f join lateral (select k, parent, obsid, (select arg_min(w.at_cell, w.step) from walk w
+      where w.origin=turns.down and not list_contains(f.taken, w.at_cell)) c from turns) t on t.k=f.k+1)"""
+# stations by wave: kept unless a kept one above comes too close
+_THINNED = f"""ordered as (select obsid, upstream_cells area, row_number() over (order by wave, obsid) k from tree),
+  thinned as (select 0::bigint k, []::bigint[] kept, null::bigint obsid, null::boolean keep
+    union all select t.k, case when t.ok then list_append(f.kept, t.obsid) else f.kept end, t.obsid, t.ok
+    from thinned f join lateral (select k, obsid, coalesce(area > {{share}} * (select max(a.area) from hits h join ordered a on a.obsid=h.origin
+      where h.at_cell=o.obsid and list_contains(f.kept, h.origin)), true) ok from ordered o) t on t.k=f.k+1)"""
+
 _SIM = f"select obsid*11 obsid, ts, s q from ({v.PAIRS_DAILY})"
 _CELLS = f"""cl as (select cell, x, y, case when region>45 then -1 else region end region, "value" val
   from ({v.GRID}))"""
@@ -303,6 +319,11 @@ ORACLES = {
     "station_tree": f"{_WALK} select * from tree",
     "direct_links": f"{_WALK} select * from links",
     "links_wide": f"{_WALK} select obsid, cast(inlet_no as int) slot, upstream_id from links",
+    "inlet_cells": f"{_WALK}, {_PLACED} select obsid, upstream_id, cell from placed where k>0",
+    "inlets_in_masks": f"""{_WALK}, {_PLACED} select obsid, upstream_id, cell, cell%7 x, cell//7 y
+      from placed join reg using (cell) where region=obsid""",
+    "thinned_stations": f"""{_WALK}, {_THINNED.format(share=1 + MAX_SHARE)}
+      select obsid, cast(keep as int) keep from thinned where k>0""",
     "nested_groups": f"{_WALK} select obsid, group_id from grp",
     "group_areas": f"{_WALK} select group_id, cast(sum(upstream_cells) as bigint) area from grp group by 1",
     "worker_allocation": f"""{_WALK}, ar as (select group_id, sum(upstream_cells)::double area from grp group by 1),
@@ -314,9 +335,8 @@ ORACLES = {
       select obsid, group_id, cast(worker as bigint) worker from grp join fold using (group_id)""",
     "upstream_inflows": f"""{_WALK} select l.obsid, inlet_no, upstream_id, strftime(ts,'%Y-%m-%d %H:%M') ts,
       round(q,6) q from links l join ({_SIM}) s on s.obsid=l.upstream_id""",
-    "upstream_inflows_wide": f"""{_WALK}, flows as (select l.obsid, strftime(ts,'%Y-%m-%d %H:%M') ts, 'q_'||inlet_no slot,
-      round(q,6) q from links l join ({_SIM}) s on s.obsid=l.upstream_id)
-      pivot flows on slot using max(q) group by obsid, ts""",
+    "upstream_inflows_wide": f"""{_WALK} select l.obsid, strftime(ts,'%Y-%m-%d %H:%M') ts, 'q_'||inlet_no slot,
+      round(q,6) q from links l join ({_SIM}) s on s.obsid=l.upstream_id""",
     "missing_upstream": f"{_WALK} select * from links where upstream_id not in (select obsid from ({_SIM}))",
     "inflow_flags": f"""{_WALK} select par.obsid, count(l.inlet_no) n_inflows,
       case when count(l.inlet_no)>0 then '1' else '0' end inflow_flag

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeflow.operators import grid, network
+from gaugeflow.operators import grid, network, placement
 
 
 def random_network(seed, cells=120, share=0.2, wide=False):
@@ -135,7 +135,7 @@ def test_groups_are_numbered_by_area(spark):
 
 
 def test_cycles_are_reported(spark, monkeypatch):
-    monkeypatch.setattr(network, "MAX_ROUNDS", 8)
+    monkeypatch.setattr(placement, "MAX_ROUNDS", 8)
     ldd = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "cell long, down long")
     gauges = spark.createDataFrame([], "cell long, obsid long")
     with pytest.raises(ValueError):
@@ -184,3 +184,83 @@ def test_masks_keep_missing_outside(spark):
     assert {(r.y, r.value) for r in grid.mask_values(clipped, masks).collect()} == {(0, None), (1, 6.0)}
     kept = grid.cells_in_masks(clipped.select("x", "y", "value"), masks.withColumn("z", F.lit(1)))
     assert [r.y for r in kept.collect()] == [1]
+
+
+@pytest.mark.parametrize("seed", [41, 42])
+def test_marks_with_ties_lost_marks_and_hot_cells(spark, seed):
+    """Several marks on one cell, in an order that runs against the river, and more marks than cells."""
+    rng = random.Random(seed)
+    down, _ = random_network(seed, cells=25, wide=seed % 2 == 0)
+    cells = [rng.choice([3, 4, 9, 20, 24]) if rng.random() < 0.7 else rng.randrange(25) for _ in range(22)]
+    turns = rng.sample(range(100), 22)
+    ldd, _ = frames(spark, down, [])
+    marks = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(zip(turns, cells))], "id long, turn long, cell long")
+    got = {r.id: r.cell for r in placement.first_come(marks, ldd, ["turn"], hot_rows=6).collect()}
+    taken, want = set(), {}
+    for _, i in sorted(zip(turns, range(22))):
+        want[i] = next((c for c in path(down, cells[i]) if c not in taken), None)
+        taken.add(want[i])
+    assert got == want and (None in want.values()) | (seed == 41)
+
+
+def test_placement_rounds_grow_with_the_logarithm(spark, monkeypatch):
+    """Tables written for marks on one cell: eight times the marks are far from eight times the tables."""
+    written, settle = [0], placement.settle
+
+    def counted(df):
+        written[0] += 1
+        return settle(df)
+
+    monkeypatch.setattr(placement, "settle", counted)
+    ldd = spark.range(100).selectExpr("id as cell", "case when id < 99 then id + 1 end as down")
+    used = []
+    for n in (4, 32):
+        written[0] = 0
+        marks = spark.range(n).selectExpr("id as turn", "3L as cell")
+        got = placement.first_come(marks, ldd, ["turn"]).collect()
+        assert sorted((r.turn, r.cell) for r in got) == [(i, 3 + i) for i in range(n)]
+        used.append(written[0])
+    assert used[1] < 4 * used[0]
+
+
+def test_loops_write_fewer_rows_by_round(spark, monkeypatch):
+    """Cells that have arrived leave the loop: each round writes only those still on their way."""
+    written, settle = [], placement.settle
+
+    def counted(df):
+        out = settle(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(placement, "settle", counted)
+    ldd = spark.range(600).selectExpr("id as cell", "case when id > 0 then id - 1 - id % 3 end as down")
+    links = ldd.filter("down IS NOT NULL").selectExpr("cell", "down as next")
+    ends = {r.end for r in placement.follow(links, []).collect()}
+    assert ends <= {-1, 0} and len(written) > 4
+    assert all(a >= b for a, b in zip(written, written[1:])) and written[-1] < written[0] / 2
+
+
+@pytest.mark.parametrize("workers", [1, 7, 10_000])
+def test_allocation_jobs_grow_with_the_logarithm(spark, workers, monkeypatch):
+    settled, settle = [0], network.settle
+
+    def counted(df):
+        settled[0] += 1
+        return settle(df)
+
+    monkeypatch.setattr(network, "settle", counted)
+    groups = spark.range(500).selectExpr("id as obsid", "id + 1 as group_id", "1 + id % 5 as upstream_cells")
+    got = [r.worker for r in network.allocate_workers(groups, workers).orderBy("group_id").collect()]
+    held, worker, want, quota = 0, 1, [], sum(1 + i % 5 for i in range(500)) / workers
+    for i in range(500):
+        if held >= quota:
+            held, worker = 0, worker + 1
+        held += 1 + i % 5
+        want.append(worker if worker <= workers else None)
+    assert got == want and settled[0] <= 4 + 2 * workers.bit_length()
+
+
+def test_allocation_without_area(spark):
+    groups = spark.createDataFrame([(1, 1, 0), (2, 2, 0)], "obsid long, group_id long, upstream_cells long")
+    assert [r.worker for r in network.allocate_workers(groups, 3).collect()] == [1, 1]
+    assert network.allocate_workers(groups.limit(0), 3).collect() == []
