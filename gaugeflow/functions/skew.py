@@ -134,6 +134,27 @@ def running_total(df: DataFrame, keys: list[str], order: list[Column], name: str
     )
 
 
+def running_max(df: DataFrame, keys: list[str], order: list[Column], value: str, name: str,
+                group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Largest ``value`` of the rows of a group before each row in ``order``; NULL for the first.
+
+    ``df`` is read twice, so derived tables are settled by the caller. Large groups are cut into
+    range slices as in ``running_total``: the largest values of the earlier slices are added.
+    """
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    if largest_group(df, keys) <= group_rows:
+        return df.withColumn(name, F.max(value).over(before))
+    slices = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sliced = settle(df.repartitionByRange(slices, *[F.col(k) for k in keys], *order)
+                    .withColumn("_slice", F.spark_partition_id()))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    tops = (sliced.groupBy(*keys, "_slice").agg(F.max(value).alias("_top"))
+            .withColumn("_top", F.max("_top").over(earlier)))
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (attach_stats(sliced.withColumn("_in_slice", F.max(value).over(within)), tops, [*keys, "_slice"])
+            .withColumn(name, F.greatest("_in_slice", "_top")).drop("_slice", "_in_slice", "_top"))
+
+
 def _pick(rank: Column, at, out: str, interpolate: bool) -> tuple[list[Column], Column, Column]:
     """Aggregates that fetch the values around a rank, the result, and whether one was not found."""
     low = F.floor(rank)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.skew import attach, attach_stats, running_total
+from gaugeflow.operators import fronts
 from gaugeflow.session import settle
 
 # Fixed values of the ranking.
@@ -18,9 +19,6 @@ BEST_SHARE = 0.1
 RANK_FLOOR, RANK_CEILING = 0.1, 1.0
 PSEUDO_RUNS = ["MinValue", "DefaultValue", "MaxValue"]
 
-BLOCK = 64  # archive points compared with every row in one round
-BLOCK_GROUPS = 5_000  # a block is a few kilobytes, so fewer of them are broadcast
-
 
 def tie_break(keys: list[str]) -> list[Column]:
     return [F.asc(k) for k in ("gen", "run") if k not in keys]
@@ -69,73 +67,21 @@ def best_parameters(ranked: DataFrame, keys: list[str], names: list[str]) -> Dat
         *[F.element_at("params", i + 1).alias(f"param_{i:02d}_{name}") for i, name in enumerate(names)])
 
 
-def dominates(better: list[Column], worse: list[Column]) -> Column:
-    """No objective is smaller and one is larger (all maximised)."""
-    no_worse = reduce(lambda x, y: x & y, [b >= w for b, w in zip(better, worse)])
-    larger = reduce(lambda x, y: x | y, [b > w for b, w in zip(better, worse)])
-    return no_worse & larger
-
-
-def pareto_set(runs: DataFrame, keys: list[str], objectives: list[str], block: int = BLOCK) -> DataFrame:
+def pareto_set(runs: DataFrame, keys: list[str], objectives: list[str], block: int = fronts.BLOCK) -> DataFrame:
     """Rows that no row of their group dominates; rows with a NULL objective are left out.
 
-    Points are visited by decreasing sum, which can only place a dominating point first. Each
-    round takes the first ``block`` points of a group as an array, drops every point they
-    dominate, and settles the block itself. No pairs of rows are built, and no task needs more
-    of a group than one block.
+    Distinct points are reduced first (see ``fronts``): one objective by its maximum, two by a
+    sweep, more by skylines of blocks that are then compared pairwise. The number of passes and
+    written tables does not depend on the size of the set.
     """
-    total = reduce(lambda x, y: x + y, [F.col(o) for o in objectives])
     known = reduce(lambda x, y: x & y, [F.col(o).isNotNull() for o in objectives])
-    place = F.struct(total.alias("_sum"), *objectives)
-    points = settle(runs.filter(known).select(*keys, *objectives).distinct()
-                    .withColumn("_place", place))
-    order = Window.partitionBy(*keys).orderBy(F.desc("_place"))
-    archive = None
-    while not points.isEmpty():
-        first = points.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= block)
-        blocks = settle(first.groupBy(*keys).agg(
-            F.collect_list("_place").alias("_block"), F.min("_place").alias("_last")))
-        beaten = F.exists("_block", lambda p: dominates(
-            [p[o] for o in objectives], [F.col(o) for o in objectives]))
-        left = settle(
-            attach(points, blocks, keys, max_rows=BLOCK_GROUPS).filter(~beaten)
-            .withColumn("_kept", F.col("_place") >= F.col("_last")).drop("_block", "_last"))
-        kept = left.filter("_kept").select(*keys, *objectives)
-        archive = kept if archive is None else archive.unionByName(kept)
-        points = left.filter("NOT _kept").drop("_kept")
-    if archive is None:
-        return runs.limit(0)
-    return runs.join(archive, [*keys, *objectives], "left_semi")
-
-
-def front_numbers(runs: DataFrame, keys: list[str], objectives: list[str], run_id: str) -> DataFrame:
-    """0-based non-dominated front per run of a bounded group (a population and its offspring).
-
-    A front is one more than the deepest front among the dominating points, all of which come
-    earlier in decreasing-sum order, so one fold over the group's array finds every front.
-    """
-    values = F.array(*[F.col(o).cast("double") for o in objectives])
-    total = reduce(lambda x, y: x + y, [F.col(o) for o in objectives])
-    entry = F.struct((-total).alias("k"), F.transform(values, lambda v: -v).alias("neg"),
-                     F.col(run_id).cast("long").alias("id"))
-    grouped = runs.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_all"))
-
-    def above(x: Column, y: Column) -> Column:
-        """y dominates x; the stored values are negated."""
-        pairs = F.arrays_zip(y["neg"].alias("p"), x["neg"].alias("q"))
-        return (F.forall(pairs, lambda z: z["p"] <= z["q"])
-                & F.exists(pairs, lambda z: z["p"] < z["q"]))
-
-    empty = F.array().cast("array<struct<id:bigint,neg:array<double>,front:int>>")
+    points = settle(runs.filter(known).select(*keys, *objectives).distinct())
+    return runs.join(fronts.skyline(points, keys, objectives, block), [*keys, *objectives], "left_semi")
 
-    def place(done: Column, x: Column) -> Column:
-        deepest = F.array_max(F.transform(F.filter(done, lambda y: above(x, y)), lambda y: y["front"]))
-        return F.concat(done, F.array(F.struct(
-            x["id"].alias("id"), x["neg"].alias("neg"),
-            (F.coalesce(deepest, F.lit(-1)) + 1).alias("front"))))
 
-    fronts = grouped.select(*keys, F.inline(F.aggregate("_all", empty, place)))
-    return runs.join(fronts.select(*keys, F.col("id").alias(run_id), "front"), [*keys, run_id])
+def front_numbers(runs: DataFrame, keys: list[str], objectives: list[str]) -> DataFrame:
+    """0-based non-dominated front per run; a NULL objective is worse than any number."""
+    return fronts.front_numbers(runs, keys, objectives)
 
 
 def crowding(ranked: DataFrame, keys: list[str], objectives: list[str], run_id: str) -> DataFrame:
@@ -162,7 +108,7 @@ def select_survivors(runs: DataFrame, keys: list[str], objectives: list[str], mu
         order = [F.desc(objectives[0]), F.asc(run_id)]
         picked = runs
     else:
-        picked = crowding(front_numbers(runs, keys, objectives, run_id), keys, objectives, run_id)
+        picked = crowding(front_numbers(runs, keys, objectives), keys, objectives, run_id)
         order = [F.asc("front"), F.desc("distance"), F.asc(run_id)]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return picked.withColumn("_rank", rank).filter(F.col("_rank") <= mu).drop(

@@ -128,12 +128,12 @@ def _rated(spark, sf_dir):
 
 
 def front_numbers(spark, sf_dir):
-    return h.front_numbers(_rated(spark, sf_dir), ["obsid"], OBJECTIVES, "run").select(
+    return h.front_numbers(_rated(spark, sf_dir), ["obsid"], OBJECTIVES).select(
         "obsid", "run", F.col("front").cast("long").alias("front"))
 
 
 def crowding_distances(spark, sf_dir):
-    ranked = settle(h.front_numbers(_rated(spark, sf_dir), ["obsid"], OBJECTIVES, "run"))
+    ranked = settle(h.front_numbers(_rated(spark, sf_dir), ["obsid"], OBJECTIVES))
     far = h.crowding(ranked, ["obsid"], OBJECTIVES, "run")
     finite = F.when(F.col("distance") < 1e300, F.col("distance"))
     return rounded(far.select("obsid", "run", finite.alias("distance")), "obsid", "run")

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeflow.functions.skew import running_max
 from gaugeflow.operators import history as h
 from gaugeflow.sources import tables
 
@@ -176,7 +177,7 @@ def test_fronts_and_survivors_against_brute_force(spark):
     names = ["f0", "f1", "f2"]
     table = spark.createDataFrame(data, "obsid long, gen int, run long, f0 double, f1 double, f2 double")
     want = brute_fronts(data)
-    assert {r.run: r.front for r in h.front_numbers(table, ["obsid"], names, "run").collect()} == want
+    assert {r.run: r.front for r in h.front_numbers(table, ["obsid"], names).collect()} == want
     kept = {r.run for r in h.select_survivors(table, ["obsid"], names, 15, "run").collect()}
     for obsid in range(3):
         mine = [a[2] for a in data if a[0] == obsid]
@@ -186,6 +187,73 @@ def test_fronts_and_survivors_against_brute_force(spark):
         assert all(r in kept for r in mine if want[r] < worst)
 
 
+@pytest.mark.parametrize("m", [1, 2, 4])
+def test_fronts_of_other_dimensions(spark, m):
+    data = points(m + 20, 150, m)
+    names = [f"f{i}" for i in range(m)]
+    table = spark.createDataFrame(data, "obsid long, gen int, run long, " + ", ".join(f"{x} double" for x in names))
+    assert {r.run: r.front for r in h.front_numbers(table, ["obsid"], names).collect()} == brute_fronts(data)
+
+
+def test_missing_objectives_are_the_worst(spark):
+    table = spark.createDataFrame([(1, 1, 5.0, None), (1, 2, 5.0, -9.0), (1, 3, None, None), (1, 4, 6.0, -10.0)],
+                                  "obsid long, run long, a double, b double")
+    assert {r.run: r.front for r in h.front_numbers(table, ["obsid"], ["a", "b"]).collect()} == {1: 1, 2: 0, 3: 2, 4: 0}
+
+
+@pytest.mark.parametrize("m", [2, 3])
+def test_one_large_group(spark, m):
+    """A million rows in one group: the first front is the Pareto set, and chains have no gaps."""
+    n = 1_000_000 if m == 2 else 100_000
+    names = [f"f{i}" for i in range(m)]
+    table = spark.range(n).select(F.lit(1).alias("obsid"), F.col("id").alias("run"),
+                                  *[F.rand(i).alias(x) for i, x in enumerate(names)])
+    table.write.mode("overwrite").parquet(path := f"{settle_folder(spark)}/large-{m}")
+    table = spark.read.parquet(path)
+    ranked = h.front_numbers(table, ["obsid"], names)
+    ranked.write.mode("overwrite").parquet(out := f"{settle_folder(spark)}/fronts-{m}")
+    ranked = spark.read.parquet(out)
+    assert ranked.count() == n
+    numbers = [r.front for r in ranked.select("front").distinct().collect()]
+    assert sorted(numbers) == list(range(len(numbers)))
+    best = h.pareto_set(table, ["obsid"], names, 64)
+    assert ({r.run for r in best.collect()} == {r.run for r in ranked.filter("front = 0").collect()})
+
+
+def settle_folder(spark):
+    from gaugeflow.session import checkpoint_dir
+    return checkpoint_dir(spark)
+
+
+def test_written_tables_do_not_grow_with_the_front(spark, monkeypatch):
+    written, settle = [0], h.settle
+
+    def counted(df):
+        written[0] += 1
+        return settle(df)
+
+    for module in (h, h.fronts):
+        monkeypatch.setattr(module, "settle", counted)
+    used = []
+    for n in (50, 3000):  # all on one sphere: every point is in the set
+        u, v = F.rand(1) * 1.5, F.rand(2) * 1.5
+        ball = spark.range(n).select(F.lit(1).alias("obsid"), F.col("id").alias("run"), (F.cos(u) * F.cos(v)).alias("a"),
+                                     (F.sin(u) * F.cos(v)).alias("b"), F.sin(v).alias("c"))
+        written[0] = 0
+        assert h.pareto_set(settle(ball), ["obsid"], ["a", "b", "c"], 500).count() == n
+        used.append(written[0])
+    assert used[0] == used[1] < 10
+
+
+@pytest.mark.parametrize("group_rows", [10**6, 10])
+def test_running_max_in_slices(spark, group_rows):
+    rng = random.Random(8)
+    data = [(i % 2, i, float(rng.randrange(100))) for i in range(200)]
+    got = running_max(spark.createDataFrame(data, "k long, i long, v double"), ["k"], [F.desc("i")], "v", "before", group_rows)
+    want = {i: max((w for l, j, w in data if l == k and j > i), default=None) for k, i, _ in data}
+    assert {r.i: r.before for r in got.collect()} == want
+
+
 def test_crowding_matches_numpy(spark):
     rng = np.random.default_rng(2)
     values = rng.random((20, 2))
