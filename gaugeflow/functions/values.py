@@ -5,6 +5,8 @@ Missing is NULL everywhere; an undefined ratio is NULL.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ STAMP_FORMAT = "dd/MM/yyyy HH:mm"
 STEP_MINUTES = (360, 1440)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once a row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def present(value: Column) -> Column:
     """NULL for NaN and for the missing-value sentinel."""
     return F.when(~F.isnan(value) & (value != F.lit(MISSING)), value)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.skew import attach
+from gaugeflow.operators.alignment import end_violations
 from gaugeflow.operators.network import link_slots
 
 
@@ -22,6 +25,16 @@ def missing_upstream(links: DataFrame, sim: DataFrame) -> DataFrame:
     return links.join(present, "upstream_id", "left_anti")
 
 
+def incomplete_inflows(links: DataFrame, sim: DataFrame, end: datetime) -> DataFrame:
+    """Links whose upstream series does not stop at the end of the forcing; ``last_ts`` is NULL for an absent one.
+
+    Only the series of linked stations are read. Empty when every inflow covers the run.
+    """
+    used = links.select(F.col("upstream_id").alias("obsid")).distinct()
+    ends = end_violations(sim.join(used, "obsid", "left_semi"), used.withColumn("end", F.lit(end)))
+    return links.join(ends.select(F.col("obsid").alias("upstream_id"), "last_ts"), "upstream_id")
+
+
 def inflow_flags(stations: DataFrame, links: DataFrame) -> DataFrame:
     """Number of inflows per station and the flag '1' / '0'."""
     counts = links.groupBy("obsid").agg(F.count(F.lit(1)).alias("n_inflows"))

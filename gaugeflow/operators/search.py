@@ -10,6 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,7 @@ from gaugeflow.operators import history as runs_of
 from gaugeflow.operators.metrics import KGE_FLOOR
 from gaugeflow.operators.metrics import objectives as fit_objectives
 from gaugeflow.session import settle
+from gaugeflow.sources.tables import append_runs, read_runs
 
 Model = Callable[[DataFrame], DataFrame]
 
@@ -30,6 +34,8 @@ GENE_PROBABILITY = 0.3
 CROSSOVER_RATE = 0.6
 MUTATION_RATE = 0.4
 
+CELLS = 1_000_000  # simulated values that one task holds
+
 
 @dataclass(frozen=True)
 class SearchSettings:
@@ -136,14 +142,59 @@ def evaluate(individuals: DataFrame, ranges: Ranges, model: Model) -> DataFrame:
     return scored.withColumn("kge", F.coalesce("kge", F.lit(KGE_FLOOR))) if "kge" in scored.columns else scored
 
 
-def series_model(simulate: Callable[[DataFrame], DataFrame], obs: DataFrame) -> Model:
-    """Model from a simulator ``simulate(individuals) -> (obsid, run, ts, s)`` and observations."""
+def series_model(simulate: Callable[[DataFrame], DataFrame], obs: DataFrame | None = None) -> Model:
+    """Model from a simulator ``simulate(individuals) -> (obsid, run, ts, s)`` and observations.
+
+    A simulator that pairs its steps before it expands them returns ``o`` itself and needs no ``obs``.
+    """
     def model(individuals: DataFrame) -> DataFrame:
-        pairs = simulate(individuals).join(obs.select("obsid", "ts", "o"), ["obsid", "ts"])
+        pairs = simulate(individuals)
+        if "o" not in pairs.columns:
+            pairs = pairs.join(obs.select("obsid", "ts", "o"), ["obsid", "ts"])
         return fit_objectives(pairs, ["obsid", "run"], every_key=True)
     return model
 
 
+def stateful_simulator(step: Callable, forcing: DataFrame, cells: int = CELLS) -> Callable[[DataFrame], DataFrame]:
+    """Simulator of a rule that carries state from step to step.
+
+    ``step(state, value, params) -> (state, simulated)`` works on arrays over individuals (params:
+    one row each; the first state is 0) and sees the ``forcing`` (obsid, ts, forcing) of a station
+    in the order of time. Steps can't be split, so individuals are: those of a station are dealt to
+    as many blocks as keep ``cells`` simulated values a block, and its forcing is copied for each.
+    A NULL forcing counts as 0; a station without forcing simulates nothing.
+    """
+    made = pa.schema([("obsid", pa.int64()), ("run", pa.int32()), ("ts", pa.timestamp("us", "UTC")), ("s", pa.float64())])
+
+    def run(individuals: pa.Table, values: pa.Table) -> pa.Table:
+        if not individuals.num_rows or not values.num_rows:  # a block that no individual was dealt to
+            return made.empty_table()
+        steps = values.sort_by("ts")
+        runs = individuals.column("run").to_numpy()
+        params = np.array(individuals.column("params").to_pylist(), np.float64).reshape(len(runs), -1)
+        put_in = steps.column("forcing").fill_null(0.0).to_numpy()
+        state, out = np.zeros(len(runs)), np.empty((len(put_in), len(runs)))
+        for t, value in enumerate(put_in):
+            state, out[t] = step(state, value, params)
+        stamps = pc.take(steps.column("ts").combine_chunks(), pa.array(np.repeat(np.arange(len(put_in)), len(runs))))
+        owner = np.full(out.size, individuals.column("obsid")[0].as_py())
+        return pa.Table.from_arrays([pa.array(owner), pa.array(np.tile(runs, len(put_in)), pa.int32()), stamps, pa.array(out.ravel())], schema=made)
+
+    def simulate(individuals: DataFrame) -> DataFrame:
+        steps = forcing.select(F.col("obsid").cast("long").alias("obsid"), "ts", F.col("forcing").cast("double").alias("forcing"))
+        lengths = steps.groupBy("obsid").agg(F.count(F.lit(1)).alias("_steps"))
+        sizes = individuals.groupBy(F.col("obsid").cast("long").alias("obsid")).agg(F.count(F.lit(1)).alias("_runs"))
+        blocks = settle(lengths.join(sizes, "obsid").select(
+            "obsid", F.ceil(F.col("_runs") * F.col("_steps") / cells).cast("int").alias("_blocks")))
+        people = individuals.select(F.col("obsid").cast("long").alias("obsid"), F.col("run").cast("int").alias("run"), "params")
+        dealt = attach(people, blocks, ["obsid"]).withColumn("_block", F.pmod(F.xxhash64("run"), F.col("_blocks")).cast("int")).drop("_blocks")
+        copies = attach(steps, blocks, ["obsid"]).withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
+        keys = ["obsid", "_block"]
+        return dealt.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(run, "obsid long, run int, ts timestamp, s double")
+
+    return simulate
+
+
 def survivors(population: DataFrame, settings: SearchSettings) -> DataFrame:
     """Best ``mu`` per station of parents and children."""
     tagged = population.withColumn("_id", F.col("gen").cast("long") * F.lit(1 << 32) + F.col("run"))
@@ -160,23 +211,29 @@ def archive(evaluated: DataFrame, settings: SearchSettings) -> DataFrame:
 
 
 class HistoryTable:
-    """Run history on shared storage: one ``gen`` folder per generation, replaced when repeated."""
+    """Run history on shared storage: a partition per generation, replaced when it is repeated.
+
+    A generation counts once its rows are committed, so one whose write broke off is never read.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
     def write(self, gen: int, runs: DataFrame) -> None:
-        runs.drop("gen").write.mode("overwrite").parquet(f"{self.path}/gen={gen}")
+        append_runs(runs.withColumn("gen", F.lit(gen)), self.path, [gen])
 
     def read(self) -> DataFrame:
-        return self.spark.read.option("basePath", self.path).parquet(f"{self.path}/gen=*")
+        return read_runs(self.spark, self.path)
+
+    def generation(self, gen: int) -> DataFrame:
+        """A generation that this search has just committed."""
+        return self.spark.read.option("basePath", self.path).parquet(f"{self.path}/gen={gen}")
 
     def exists(self) -> bool:
         try:
-            self.read()
+            return not self.read().isEmpty()
         except AnalysisException:
             return False
-        return True
 
 
 @dataclass
@@ -237,7 +294,7 @@ def run_search(stations: DataFrame, ranges: Ranges, model: Model, settings: Sear
 
     def step(gen: int, individuals: DataFrame) -> DataFrame:
         history.write(gen, evaluate(individuals, ranges, model))
-        return history.read().filter(F.col("gen") == gen)
+        return history.generation(gen)
 
     state = restore(history, settings) if history.exists() else None
     if state is None:

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeflow.functions.skew import attach
 from gaugeflow.operators import history as h
 from gaugeflow.operators import search
 from gaugeflow.plans import views as v
@@ -83,25 +84,41 @@ def children(spark, sf_dir):
 
 
 def linear_simulator(base: DataFrame):
-    """A column model: a multiple of a base series plus a constant."""
+    """A column model: a multiple of a base series plus a constant; ``base`` holds the observations too.
+
+    The individuals of a station, bounded by the population, meet each step as one array.
+    """
     def simulate(individuals: DataFrame) -> DataFrame:
-        runs = individuals.select("obsid", "run", F.element_at("params", 1).alias("gain"),
-                                  F.element_at("params", 2).alias("offset"))
-        return base.join(runs, "obsid").select(
-            "obsid", "run", "ts", (F.col("gain") * F.col("s") + F.col("offset")).alias("s"))
+        one = F.struct("run", F.element_at("params", 1).alias("gain"), F.element_at("params", 2).alias("offset"))
+        runs = settle(individuals.groupBy("obsid").agg(F.collect_list(one).alias("runs")))
+        steps = attach(base, runs, ["obsid"]).select("obsid", "ts", "s", "o", F.explode("runs").alias("r"))
+        return steps.select("obsid", "r.run", "ts", "o", (F.col("r.gain") * F.col("s") + F.col("r.offset")).alias("s"))
     return simulate
 
 
 def series_evaluation(spark, sf_dir):
     """Objectives of the first population with a model that simulates series."""
     ranges, people = _first(spark, sf_dir)
-    pairs = v.pairs_daily(spark, sf_dir)
-    model = search.series_model(linear_simulator(pairs.select("obsid", "ts", "s")),
-                                pairs.select("obsid", "ts", "o"))
+    model = search.series_model(linear_simulator(v.pairs_daily(spark, sf_dir)))
     runs = search.evaluate(people, ranges, model)
     return rounded(runs.select("obsid", "run", "kge", "corr", "bias", "spread", "sae"), "obsid", "run")
 
 
+def reservoir(stored, forcing, params):
+    """A store that drains by a share each step and is filled by a multiple of the forcing."""
+    stored = stored * (1 - 1 / (1 + params[:, 1])) + params[:, 0] * forcing
+    return stored, stored
+
+
+def reservoir_evaluation(spark, sf_dir):
+    """Objectives of the first population with a model that remembers its state."""
+    ranges, people = _first(spark, sf_dir)
+    pairs = settle(v.pairs_daily(spark, sf_dir))
+    simulate = search.stateful_simulator(reservoir, pairs.select("obsid", "ts", F.col("s").alias("forcing")))
+    runs = search.evaluate(people, ranges, search.series_model(simulate, pairs.select("obsid", "ts", "o")))
+    return rounded(runs.select("obsid", "run", "kge", "corr", "bias", "spread", "sae"), "obsid", "run")
+
+
 def _history_path(spark, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -145,7 +162,7 @@ def survivors_two_objectives(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    initial_population, rescaled_genes, survivors, children, series_evaluation, search_fronts,
+    initial_population, rescaled_genes, survivors, children, series_evaluation, reservoir_evaluation, search_fronts,
     front_numbers, crowding_distances, survivors_two_objectives)}
 
 
@@ -206,7 +223,46 @@ def _gap(value: str) -> str:
       else (lead({value}) over {w}-lag({value}) over {w})/((max({value}) over {p}-min({value}) over {p})*2) end"""
 
 
+def _replay(gens: int) -> str:
+    """The whole search again, one generation after the other: children, scores, survivors, archive, stop flags."""
+    ids = ("obsid", "gen", "run")
+    parts = [f"""{_PEOPLE},
+      genes0 as materialized (select obsid, 0 gen, run, idx, x from ppl),
+      runs0 as materialized (select obsid, 0 gen, run, 1-sqrt(sum((x-0.4::double)*(x-0.4::double))/count(*)) kge from genes0 group by 1, 2, 3),
+      pool0 as materialized (select * from runs0), all0 as materialized (select * from genes0),
+      top0 as materialized (select obsid, 0 gen, max(kge) top from runs0 group by 1),
+      live0 as materialized (select obsid from top0)"""]
+    for g in range(1, gens + 1):
+        p, floor = g - 1, "and false" if g < SETTINGS.min_gen else ""
+        parts.append(f"""
+      slots{g} as materialized (select *, row_number() over (partition by obsid order by gen, run)-1 slot,
+        count(*) over (partition by obsid) size from pool{p} semi join live{p} using (obsid)),
+      kids{g} as (select obsid, {g} gen, unnest(range(1,{LAM + 1})) run, size from (select distinct obsid, size from slots{g})),
+      drawn{g} as (select *, {_uniform('how', *ids)} how, cast(floor({_uniform('p1', *ids)}*size) as int) a,
+        cast(floor({_uniform('p2', *ids)}*greatest(size-1,1)) as int) b0 from kids{g}),
+      both{g} as (select *, case when size=1 then 0 else b0+cast(b0>=a as int) end b from drawn{g}),
+      bred{g} as (select t.obsid, t.gen, t.run, x1.idx, how, x1.x xa, x2.x xb from both{g} t
+        join slots{g} q1 on q1.obsid=t.obsid and q1.slot=a join slots{g} q2 on q2.obsid=t.obsid and q2.slot=b
+        join all{p} x1 on x1.obsid=t.obsid and x1.gen=q1.gen and x1.run=q1.run
+        join all{p} x2 on x2.obsid=t.obsid and x2.gen=q2.gen and x2.run=q2.run and x2.idx=x1.idx),
+      moved{g} as (select *, 1.3::double*{_uniform('mate', *ids, 'idx')}-0.15::double g, {_uniform('hit', *ids, 'idx')} hit,
+        sqrt(-2*ln(1-{_uniform('noise:r', *ids, 'idx')}))*cos(2*pi()*{_uniform('noise:t', *ids, 'idx')}) z from bred{g}),
+      genes{g} as materialized (select obsid, gen, run, idx, least(greatest(case when how<{SETTINGS.crossover}::double then (1-g)*xa+g*xb
+        when how<{SETTINGS.crossover + SETTINGS.mutation}::double and hit<0.3::double then xa+0.3::double*z else xa end, 0), 1) x from moved{g}),
+      runs{g} as materialized (select obsid, gen, run, 1-sqrt(sum((x-0.4::double)*(x-0.4::double))/count(*)) kge from genes{g} group by 1, 2, 3),
+      all{g} as materialized (select * from all{p} union all select * from genes{g}),
+      pool{g} as materialized (select obsid, gen, run, kge from (select * from pool{p} union all select * from runs{g})
+        qualify row_number() over (partition by obsid order by kge desc, gen, run)<={MU}),
+      top{g} as materialized (select * from top{p} union all select r.obsid, {g}, greatest(max(kge), max(t.top))
+        from runs{g} r join top{p} t on t.obsid=r.obsid and t.gen={p} group by 1),
+      live{g} as materialized (select obsid from live{p} anti join (select t.obsid from top{g} t join top{g} e on e.obsid=t.obsid
+        and e.gen=t.gen-{SETTINGS.gen_offset} where t.gen={g} and t.top-e.top<{SETTINGS.effmax_tol}::double {floor}) using (obsid))""")
+    return "with " + ",".join(parts)
+
+
 ORACLES = {
+    "search_fronts": f"""{_replay(SETTINGS.max_gen)} select obsid, gen, round(top,6) "effmax_R", round(top,6) "effmin_R",
+      0.0::double "effstd_R", round(top,6) "effavg_R" from top{SETTINGS.max_gen}""",
     "initial_population": f"""with {_PEOPLE} select obsid, run, idx, round(x,6) x,
       round(lo+x*(hi-lo),6) param, round((lo+x*(hi-lo))*1.05::double,6) perturbed from ppl""",
     "rescaled_genes": f"with {_PEOPLE} select obsid, run, idx, round(x,6) x from ppl",
@@ -220,6 +276,15 @@ ORACLES = {
       v as (select d.obsid, run, o, gain*s+shift s from ({v.PAIRS_DAILY}) d join w on w.obsid=d.obsid)
       select obsid, run, round(greatest(coalesce({_KGE},-100.0),-100.0),6) kge, round({_CORR},6) corr,
         round({_BIAS},6) bias, round({_SPREAD},6) spread, round(sum(abs(s-o)),6) sae from v group by 1, 2""",
+    "reservoir_evaluation": f"""with recursive {_PEOPLE},
+      w as (select obsid, run, max(case when idx=0 then lo+x*(hi-lo) end) gain,
+        1-1/(1+max(case when idx=1 then lo+x*(hi-lo) end)) stays from ppl group by 1, 2),
+      st as materialized (select obsid, o, s f, row_number() over (partition by obsid order by ts) i from ({v.PAIRS_DAILY})),
+      sim as (select obsid, run, 1::bigint i, o, gain*f s, gain, stays from st join w using (obsid) where i=1
+        union all select sim.obsid, sim.run, st.i, st.o, sim.s*stays+gain*f, gain, stays
+        from sim join st on st.obsid=sim.obsid and st.i=sim.i+1)
+      select obsid, run, round(greatest(coalesce({_KGE},-100.0),-100.0),6) kge, round({_CORR},6) corr,
+        round({_BIAS},6) bias, round({_SPREAD},6) spread, round(sum(abs(s-o)),6) sae from sim group by 1, 2""",
     "front_numbers": f"with recursive {_RATED} select obsid, run, front from ranked",
     "crowding_distances": f"""with recursive {_RATED},
       d as (select obsid, run, {_gap('near_low')} a, {_gap('near_high')} b from ranked)

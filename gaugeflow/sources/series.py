@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions.values import (MISSING, add_minutes, check_step, parse_stamp, present,
                                         stamp_text)
+from gaugeflow.operators.alignment import end_violations
 
 # Pieces of the station folder layout.
 STATION_FOLDER = r"/([0-9]+)/out/"
@@ -77,13 +78,31 @@ def stamped(series: DataFrame, start: datetime | Column, minutes: int) -> DataFr
     return series.withColumn("ts", add_minutes(begin, (F.col("step") - 1) * F.lit(minutes)))
 
 
-def checked_end(series: DataFrame, end: datetime, keys: list[str]) -> DataFrame:
-    """The series, after failing when one of them is absent or does not stop at ``end``."""
-    last = series.groupBy(*keys).agg(F.max("ts").alias("last_ts"))
-    wrong = last.filter(F.col("last_ts") != F.lit(end)).orderBy(*keys).limit(5).collect()
+def complete(series: DataFrame, expected: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The series that stop at their ``expected`` (keys, end), and the violations by the others.
+
+    An expected series without any row is a violation with a NULL ``last_ts``; a series that is not
+    expected is left out. Nothing runs here: both results are plans, the violations empty when all is well.
+    """
+    wrong = end_violations(series, expected, tuple(keys))
+    whole = expected.select(*keys).join(wrong, keys, "left_anti")
+    return series.join(whole, keys, "left_semi"), wrong
+
+
+def checked_end(series: DataFrame, end: datetime, keys: list[str], expected: DataFrame | None = None) -> DataFrame:
+    """The series, after failing when one is absent from ``expected`` (keys) or does not stop at ``end``.
+
+    Without ``expected``, the series that exist are checked, and none at all is a failure.
+    """
+    known = series.select(*keys).distinct() if expected is None else expected.select(*keys).distinct()
+    _, found = complete(series, known.withColumn("end", F.lit(end)), keys)
+    wrong = [r.asDict() for r in found.orderBy(*keys).limit(5).collect()]
+    absent = [r for r in wrong if r["last_ts"] is None]
+    if absent:
+        raise FileNotFoundError(f"no simulated series: {absent}")
     if wrong:
-        raise ValueError(f"simulated series do not end at {end}: {[r.asDict() for r in wrong]}")
-    if last.isEmpty():
+        raise ValueError(f"simulated series do not end at {end}: {wrong}")
+    if known.isEmpty():
         raise FileNotFoundError("no simulated series found")
     return series
 

@@ -1,10 +1,13 @@
 """Parameter search: convergence, reproducibility, restart."""
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.operators import search
+from gaugeflow.sources import tables
 
 N_PARAMS = 14
 RANGES = search.Ranges([f"p{i}" for i in range(N_PARAMS)], [0.0] * N_PARAMS, [1.0] * N_PARAMS, [0.5] * N_PARAMS)
@@ -160,3 +163,39 @@ def test_individuals_without_pairs_stay(spark):
     got = {(r.obsid, r.run): (r.kge, r.sae) for r in search.evaluate(people, ranges, search.series_model(simulate, obs)).collect()}
     assert set(got) == {(1, 1), (1, 2), (2, 1)}
     assert got[1, 2] == got[2, 1] == (-100.0, None) and got[1, 1][0] > -100 and got[1, 1][1] == 1.0
+
+
+@pytest.mark.parametrize("cells", [10**6, 7])
+def test_stateful_simulator_equals_a_loop(spark, cells):
+    """State is carried in the order of time, whatever the blocks; blocks may be empty."""
+    def step(state, value, params):
+        state = state * params[:, 0] + value
+        return state, state * params[:, 1]
+
+    times = [datetime(2000, 1, 1) + timedelta(days=i) for i in range(9)]
+    forcing = [(s, t, None if i == 4 else float(s * 10 + i)) for s in (1, 2) for i, t in enumerate(times)]
+    people = [(s, r, [0.1 * r, 2.0 + s]) for s in (1, 2, 3) for r in range(1, 6)]
+    simulate = search.stateful_simulator(step, spark.createDataFrame(forcing[::-1], "obsid long, ts timestamp, forcing double"), cells)
+    got = {(r.obsid, r.run, r.ts): r.s for r in simulate(spark.createDataFrame(people, "obsid long, run int, params array<double>")).collect()}
+    want = {}
+    for s, r, (keep, gain) in people:
+        state = 0.0
+        for owner, t, f in forcing:
+            if owner == s:
+                state = state * keep + (f or 0.0)
+                want[s, r, t] = pytest.approx(state * gain)
+    assert got == want and len(got) == 2 * 5 * 9
+
+
+def test_a_generation_without_commit_is_not_read(spark, tmp_path):
+    table = search.HistoryTable(spark, str(tmp_path / "runs"))
+    assert not table.exists()
+    runs = spark.createDataFrame([(1, r, 0.5) for r in range(4)], "obsid long, run int, kge double")
+    table.write(0, runs)
+    table.write(1, runs.limit(2))
+    table.write(1, runs)  # repeated: replaced
+    tables.write_table(runs.withColumn("gen", F.lit(2)), table.path, ["gen"])  # broke off before its commit
+    half = f"{table.path}/gen=1"
+    assert table.exists() and {(r.gen, r["count"]) for r in table.read().groupBy("gen").count().collect()} == {(0, 4), (1, 4)}
+    runs.limit(1).write.mode("append").parquet(half)  # rows beside the committed ones
+    assert {r.gen for r in table.read().select("gen").distinct().collect()} == {0}

@@ -1,5 +1,6 @@
 """Text readers and writers on real files."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -44,6 +45,15 @@ def test_series_reader(spark, folder):
         series.checked_end(got, END + timedelta(days=1), ["obsid"])
     with pytest.raises(FileNotFoundError):
         series.checked_end(got.filter("obsid = 1"), END, ["obsid"])
+    expected = spark.createDataFrame([(2822,), (2824,), (2825,)], "obsid long")
+    with pytest.raises(FileNotFoundError, match="2825"):  # a missing station among those that exist
+        series.checked_end(got, END, ["obsid"], expected)
+    assert series.checked_end(got, END, ["obsid"], expected.filter("obsid < 2825")) is got
+    whole, wrong = series.complete(got, expected.withColumn("end", F.lit(END)), ["obsid"])
+    assert whole.count() == 8 and [(r.obsid, r.last_ts) for r in wrong.collect()] == [(2825, None)]
+    links = spark.createDataFrame([(9, 1, 2822), (9, 2, 2825)], "obsid long, inlet_no long, upstream_id long")
+    found = inflows.incomplete_inflows(links, got, END).collect()
+    assert [(r.obsid, r.upstream_id, r.last_ts) for r in found] == [(9, 2825, None)]
 
 
 def test_gauges_and_last_gauge(spark, tmp_path):
@@ -181,3 +191,45 @@ def test_folder_sizes(spark, tmp_path):
     files = jobs.list_files(spark, str(tmp_path), r"/(\d+)/(out|settings|maps|inflow)/")
     got = logs.folder_sizes(files, ["out", "settings", "maps", "inflow"]).first()
     assert tuple(got) == ("380", 3, None, 1, None)
+
+
+def test_links_of_files_with_different_slots(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ID,up,,\n1,7,,\n2,,8.0,\n" + "3,,,\n" * 50)
+    (tmp_path / "b.csv").write_text('ID,up,,,,\n4,5, ,6,"9",10\n5\n')
+    got = tables.read_links(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 1, 7), (2, 1, 8), (4, 1, 5), (4, 2, 6), (4, 3, 9), (4, 4, 10)]
+
+
+def test_scenarios_under_nested_roots(spark, tmp_path):
+    head = "randId,a," + ",".join(tables.OBJECTIVE_COLUMNS) + ",generation,runNumber\n"
+    for place, rid in (("cal/380", "x"), ("cal/zero/380", "y"), ("cal/zero/deep/892", "z"), ("other/obsid=7", "w")):
+        (tmp_path / place).mkdir(parents=True)
+        (tmp_path / place / "paramsHistory.csv").write_text(head + f"MinValue,0\n{rid},1,0.5,1,1,1,2,0,1\n")
+        (tmp_path / place / "notes.csv").write_text("not a history\n")
+    roots = {"all": f"file://{tmp_path}/cal/", "zero": str(tmp_path / "cal" / "zero"), "other": str(tmp_path / "other")}
+    got = tables.read_scenarios(spark, roots, ["a"])
+    assert sorted((r.scenario, r.obsid, r.rand_id) for r in got.collect()) == [
+        ("all", 380, "x"), ("other", 7, "w"), ("zero", 380, "y"), ("zero", 892, "z")]
+
+
+def test_six_digits_equal_the_c_format(spark):
+    rng = random.Random(4)
+    values = [0.0, None, float("nan"), float("inf"), -float("inf"), 999999.5, 999999.4999, 0.0001, 0.000099999950, 2.5052505, 15.0015,
+              123456.5, 123457.5, 1234565.0, 1234575.0, 1e5, 1e6, 1e-5, 1e22, 1e23, 1.5e-17, -0.166375]
+    values += [round(rng.uniform(-1, 1) * 10 ** rng.randrange(-6, 9), rng.randrange(12)) for _ in range(3000)]
+    values += [rng.randrange(10**6, 10**7) * 10.0 ** rng.randrange(-14, 15) for _ in range(3000)]
+    values += [(rng.randrange(10**5, 10**6) + 0.5) * 2.0 ** rng.randrange(-6, 6) for _ in range(1000)]
+    df = spark.createDataFrame(list(enumerate(values)), "i long, x double").select("i", tables.six_digits(F.col("x")).alias("t"))
+    got = {r.i: r.t for r in df.collect()}
+    assert [got[i] for i in range(len(values))] == [None if x is None else "0" if x == 0 else f"{x:g}" for x in values]
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_appends_can_be_repeated(spark, tmp_path):
+    path = str(tmp_path / "history")
+    runs = spark.createDataFrame([(1, g, r, 0.1 * r) for g in range(3) for r in range(4)], "obsid long, gen int, run int, kge double")
+    for part in ("gen < 2", "gen > 0", "gen = 1"):
+        tables.append_runs(runs.filter(part), path)
+    assert tables.read_runs(spark, path).count() == 12
+    tables.write_table(runs.filter("gen = 2").withColumn("gen", F.lit(7)), path, ["gen"])
+    assert {r.gen for r in tables.read_runs(spark, path).collect()} == {0, 1, 2}
