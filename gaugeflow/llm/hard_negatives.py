@@ -217,9 +217,14 @@ def shards(rows: DataFrame, id_col: str, label: Column, vector_col: str, shard:
     nodes = settle(_valid(rows, id_col, label, vector_col).mapInArrow(_nodes, NODES)
                    .groupBy("label", "dim", "vector").agg(F.flatten(F.collect_list("ids")).alias("ids"))
                    .select("label", "dim", "vector", F.slice(F.array_sort(F.array_distinct("ids")), 1, most).alias("ids")))
-    n_shards = max(1, -(-nodes.count() // shard))
+    n_ranges = max(1, -(-nodes.count() // shard))
     # the ranges are numbered in a table of their own, since a range partitioning can't be repeated exactly
-    dealt = settle(nodes.repartitionByRange(n_shards, "dim", "label", "vector").withColumn("shard", F.spark_partition_id()))
+    ranged = settle(nodes.repartitionByRange(n_ranges, "dim", "label", "vector").withColumn("range", F.spark_partition_id()))
+    # neighbouring ranges that are small together make one shard, however many ranges there came to be
+    upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    numbers = settle(ranged.groupBy("range").agg(F.count(F.lit(1)).alias("rows")).select(
+        "range", F.floor(F.coalesce(F.sum("rows").over(upto), F.lit(0)) / shard).cast("int").alias("shard")))
+    dealt = attach(ranged, numbers, ["range"])
     return settle(dealt.groupBy("dim", "shard").applyInPandas(_build, SHARDS))
 
 
