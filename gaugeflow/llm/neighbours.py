@@ -9,7 +9,7 @@
    are scored by the cosine of the original vectors in double precision, and the shards' best are
    merged per query.
 
-Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no
+Defined cases: very large and very small components are scaled before they are squared; vectors that are null, empty, zero or hold null or non-finite components take no
 part; vectors are compared within their dimension; rows that repeat an id and a vector are one
 candidate; null ids are left out; ties go to the smaller id.
 """
@@ -153,8 +153,17 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
                           "vectors": vectors.tobytes(), "edges": edges.astype(np.int32).tobytes(), "start": start}])
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Every vector times the power of two that brings its largest component between a half and one."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=-1, keepdims=True))[1])
+
+
 def cosines(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Cosine of each query with its own row of vectors (queries x candidates x dimension)."""
+    """Cosine of each query with its own row of vectors (queries x candidates x dimension).
+
+    Vectors are scaled by powers of two, which changes no digit, so that no square overflows or vanishes.
+    """
+    vectors, queries = _scaled(vectors), _scaled(queries)
     dot = np.matmul(vectors, queries[:, :, None])[:, :, 0]
     return dot / (np.linalg.norm(vectors, axis=2) * np.linalg.norm(queries, axis=1)[:, None])
 
@@ -171,7 +180,6 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for low in range(0, len(q_ids), BATCH):
                 q = slice(low, low + BATCH)
                 nodes, _ = beam_search(edges, unit, row["start"], q_unit[q])
-                nodes = nodes[:, :4 * NEAREST]
                 score = np.where(nodes >= 0, cosines(vectors[np.maximum(nodes, 0)], queries[q]), -np.inf)
                 members = np.where(nodes[:, :, None] >= 0, ids[np.maximum(nodes, 0)], NONE)
                 members = np.where(members == q_ids[q, None, None], NONE, members).reshape(len(nodes), -1)

@@ -50,3 +50,19 @@ def test_copies_ties_and_odd_vectors(spark):
     truth = brute(ids, vectors, [i for i, x in enumerate(ids) if x % 50 == 0])
     assert np.mean([len({i for i, _ in truth[q]} & set(got[q])) for q in truth]) >= 4.5
     assert op.nearest(df.limit(0), df).collect() == [] and op.nearest(df, df.limit(0)).collect() == []
+
+
+def test_very_large_and_small_components(spark):
+    r = np.random.default_rng(2)
+    base = r.normal(size=(120, 6))
+    scale = r.choice([1e-200, 1.0, 1e200], size=120)
+    rows = [(i, [float(x) for x in base[i] * scale[i]]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for x in op.nearest(df, df.filter("vec_id % 10 = 0")).orderBy("query_id", "rank").collect():
+        got.setdefault(x.query_id, []).append((x.vec_id, x.score))
+    truth = brute(np.arange(120), base, range(0, 120, 10))
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    for q, found in got.items():  # every score is that of the vectors before they were scaled
+        np.testing.assert_allclose([s for _, s in found], [unit[q] @ unit[i] for i, _ in found], rtol=1e-12)
+    assert np.mean([len({i for i, _ in truth[q]} & {i for i, _ in got[q]}) for q in truth]) >= 4.5
