@@ -7,7 +7,10 @@ updated by the character that enters and the one that leaves. A window is hot wh
 entropy reaches the bound of the candidate's character class, and touching hot windows make one
 span. Spans inside a base span are not added.
 
-Defined cases: a null text is empty and has no spans; rows that repeat a doc_id are scanned each.
+Defined cases: a null text is empty and has no spans; rows that repeat a doc_id are scanned each; an
+empty table gives an empty result; other columns of the input, whatever their names, are left out;
+of equal starts the kind listed first comes first. A very long text is scanned in its row, in time
+that grows with its length, also where it is one single candidate or one path of many parts.
 """
 
 from __future__ import annotations
@@ -36,8 +39,9 @@ CLASSES = [
     (".*", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-", 3.7),
 ]
 #: Harmless strings: identifiers in 8-4-4-4-12 form, numbers with separators, paths of plain words, placeholders.
+#: The repeated group is possessive: its parts can't be cut otherwise, and Java matches it without recursion.
 ALLOWED = [
-    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9+/_=-]+", r"([A-Za-z]+[0-9]{0,4}[/_=-]+)+[A-Za-z]*[0-9]{0,4}",
+    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9+/_=-]+", r"(?:[A-Za-z]+[0-9]{0,4}[/_=-]+)++[A-Za-z]*[0-9]{0,4}",
     r"(?i).*(example|placeholder|changeme|x{8}|0{8}|1234567890|abcdefgh).*",
 ]
 
@@ -78,9 +82,9 @@ def _hot(text: Column, alphabet: str, bound: float) -> Column:
     def f(c: Column) -> Column:  # c * log2(c)
         return F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
 
-    def slide(s: Column, i: Column) -> Column:
-        enters = F.instr(F.lit(alphabet), F.substring(text, i + 1, F.lit(1)))
-        leaves = F.when(i >= WINDOW, F.instr(F.lit(alphabet), F.substring(text, i - WINDOW + 1, F.lit(1)))).otherwise(F.lit(0))
+    def slide(chars: Column, s: Column, i: Column) -> Column:
+        enters = F.instr(F.lit(alphabet), F.get(chars, i))
+        leaves = F.when(i >= WINDOW, F.instr(F.lit(alphabet), F.get(chars, i - WINDOW))).otherwise(F.lit(0))
         came, went = F.element_at(s["counts"], enters), F.when(leaves > 0, F.element_at(s["counts"], F.greatest(leaves, F.lit(1))))
         change = F.when(enters == leaves, F.lit(0.0)).otherwise(
             f(came + 1) - f(came) + F.when(leaves > 0, f(went - 1) - f(went)).otherwise(F.lit(0.0)))
@@ -96,7 +100,10 @@ def _hot(text: Column, alphabet: str, bound: float) -> Column:
         out = F.when((end >= WINDOW) & (entropy >= bound), merged).otherwise(s["out"])
         return F.struct(counts.alias("counts"), total.alias("sum"), out.alias("out"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.length(text) - 1), state, slide)["out"]
+    def slid(chars: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(0), F.length(text) - 1), state, lambda s, i: slide(chars, s, i))["out"]
+
+    return F.get(F.transform(F.array(F.split(text, "")), slid), F.lit(0))  # characters are cut apart once a candidate
 
 
 def _entropy_spans(text: Column) -> Column:

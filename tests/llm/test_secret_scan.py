@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -63,3 +64,15 @@ def test_hard_texts(spark):
     assert got == sorted(((i, *expected(t)) for i, t in rows), key=str)
     assert any("entropy" in r[-1] for r in got)
     assert op.scan(df.limit(0)).collect() == []
+
+
+def test_long_candidates(spark):
+    """Paths of many parts, which once overflowed the stack, and one candidate of 200,000 characters."""
+    rng = random.Random(3)
+    alphabet = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-"
+    texts = ["a/" * 2000 + "b7", "a/" * 100_000, "ab12=" * 50_000 + "c", "a1/" * 3000 + "Zk39fQx7Lw2Rt8Yp5Vb1Nc6Md4Hs0J" + "/b" * 3000,
+             "".join(rng.choice(alphabet) for _ in range(200_000)), "0-" * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in op.scan(df).collect()}
+    assert got == {i: expected(t) for i, t in enumerate(texts)}
+    assert got[4][-1] and not got[1][-1]
