@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,13 +19,6 @@ BLOCK = 4096  # points of a group that one task compares with as many others
 CHUNK = 256
 
 
-def dominates(better: list[Column], worse: list[Column]) -> Column:
-    """No objective is smaller and one is larger."""
-    no_worse = reduce(lambda x, y: x & y, [b >= w for b, w in zip(better, worse)])
-    larger = reduce(lambda x, y: x | y, [b > w for b, w in zip(better, worse)])
-    return no_worse & larger
-
-
 def beaten(points: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Whether some row of ``others`` dominates each row of ``points``."""
     out = np.zeros(len(points), bool)
@@ -37,8 +29,8 @@ def beaten(points: np.ndarray, others: np.ndarray) -> np.ndarray:
     return out
 
 
-def _values(table: pa.Table, objectives: list[str]) -> np.ndarray:
-    return np.stack([pc.cast(table.column(o), pa.float64()).to_numpy() for o in objectives], axis=1)
+def _values(table: pa.Table | pa.RecordBatch, objectives: list[str]) -> np.ndarray:
+    return np.stack([np.asarray(pc.cast(table.column(o), pa.float64())) for o in objectives], axis=1)
 
 
 def _staircase(points: DataFrame, keys: list[str], objectives: list[str]) -> DataFrame:
@@ -55,32 +47,50 @@ def _numbered(points: DataFrame, keys: list[str], objectives: list[str], block:
     return attach(points, sizes, keys).withColumn("_block", F.pmod(F.xxhash64(*objectives), F.col("_blocks")).cast("int"))
 
 
+def own_skyline(values: np.ndarray) -> np.ndarray:
+    """Numbers of the rows that no other row dominates.
+
+    Rows are visited in chunks by falling sum, which can only place a dominating row first, so each
+    chunk is compared with the rows kept so far and with itself.
+    """
+    order = np.argsort(-values.sum(axis=1), kind="stable")
+    kept = order[:0]
+    for low in range(0, len(order), CHUNK):
+        some = order[low:low + CHUNK]
+        some = some[~beaten(values[some], values[kept])]
+        kept = np.concatenate((kept, some[~beaten(values[some], values[some])]))
+    return np.sort(kept)
+
+
 def _merged(points: DataFrame, keys: list[str], objectives: list[str], block: int) -> DataFrame:
     """Any number of objectives, in a fixed number of passes.
 
-    1. The best points of a group by sum and by each objective drop what they dominate.
-    2. The rest is dealt to blocks, and each block keeps its own skyline.
+    1. Every batch of rows keeps the skyline of each group in it, before anything is shuffled.
+    2. The rest is dealt to blocks, and each block keeps its own skyline. That is all where the
+       groups are single blocks.
     3. What is left is dealt again; every block is compared with every block of its group, one pair
        a task. A skyline of f points takes f / ``block`` copies of it, and no task more than two blocks.
     """
-    total = reduce(lambda x, y: x + y, [F.col(o) for o in objectives])
-    whole = F.struct(*objectives)
-    best = [F.max_by(whole, F.struct(total, whole)).alias("_b0"),
-            *[F.max_by(whole, F.struct(F.col(o), total, whole)).alias(f"_b{i}") for i, o in enumerate(objectives, 1)]]
-    champions = settle(points.groupBy(*keys).agg(*best))
-    worse = [dominates([F.col(f"_b{i}")[o] for o in objectives], [F.col(o) for o in objectives]) for i in range(len(best))]
-    rest = settle(attach(points, champions, keys).filter(~reduce(lambda x, y: x | y, worse)).select(*points.columns))
-    schema = rest.schema
+    schema = points.schema
+    names = schema.names
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = _values(batch, objectives)
+            groups = batch.select(keys).to_pandas().groupby(keys, dropna=False, sort=False).indices.values() if keys else [np.arange(len(values))]
+            kept = [rows if len(rows) == 1 else rows[own_skyline(values[rows])] for rows in groups]
+            yield batch.take(pa.array(np.sort(np.concatenate(kept)))) if kept else batch
 
     def own(table: pa.Table) -> pa.Table:
-        values = _values(table, objectives)
-        return table.select(schema.names).filter(pa.array(~beaten(values, values)))
+        return table.select(names).take(pa.array(own_skyline(_values(table, objectives))))
 
-    dealt = _numbered(rest, keys, objectives, block)
-    left = settle(dealt.groupBy(*keys, "_block").applyInArrow(own, schema))
+    rest = settle(points.mapInArrow(first, schema).distinct())
+    largest = rest.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest <= block:
+        return rest.groupBy(*keys).applyInArrow(own, schema)
+    left = settle(_numbered(rest, keys, objectives, block).groupBy(*keys, "_block").applyInArrow(own, schema))
 
     def lost(mine: pa.Table, other: pa.Table) -> pa.Table:
-        names = schema.names
         if not mine.num_rows or not other.num_rows:
             return mine.select(names).slice(0, 0)
         return mine.select(names).filter(pa.array(beaten(_values(mine, objectives), _values(other, objectives))))
@@ -91,11 +101,11 @@ def _merged(points: DataFrame, keys: list[str], objectives: list[str], block: in
     other = dealt.withColumnRenamed("_block", "_with").withColumn("_block", F.explode(numbers)).drop("_blocks")
     pair = [*keys, "_block", "_with"]
     gone = mine.groupBy(*pair).cogroup(other.groupBy(*pair)).applyInArrow(lost, schema)
-    return left.join(gone, schema.names, "left_anti")
+    return left.join(gone, names, "left_anti")
 
 
 def skyline(points: DataFrame, keys: list[str], objectives: list[str], block: int = BLOCK) -> DataFrame:
-    """The non-dominated rows of ``points`` (keys, objectives), which must be distinct and without NULL."""
+    """The distinct non-dominated rows of ``points`` (keys, objectives), which must be without NULL."""
     if len(objectives) == 1:
         return points.groupBy(*keys).agg(F.max(objectives[0]).alias(objectives[0]))
     if len(objectives) == 2:

@@ -70,12 +70,12 @@ def best_parameters(ranked: DataFrame, keys: list[str], names: list[str]) -> Dat
 def pareto_set(runs: DataFrame, keys: list[str], objectives: list[str], block: int = fronts.BLOCK) -> DataFrame:
     """Rows that no row of their group dominates; rows with a NULL objective are left out.
 
-    Distinct points are reduced first (see ``fronts``): one objective by its maximum, two by a
-    sweep, more by skylines of blocks that are then compared pairwise. The number of passes and
+    Points are reduced first (see ``fronts``): one objective by its maximum, two by a sweep, more by
+    skylines of batches and blocks, which are then compared pairwise. The number of passes and
     written tables does not depend on the size of the set.
     """
     known = reduce(lambda x, y: x & y, [F.col(o).isNotNull() for o in objectives])
-    points = settle(runs.filter(known).select(*keys, *objectives).distinct())
+    points = runs.filter(known).select(*keys, *objectives)
     return runs.join(fronts.skyline(points, keys, objectives, block), [*keys, *objectives], "left_semi")
 
 

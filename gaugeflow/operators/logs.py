@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The lines of a job log.
-REAL_TIME = r"real\t(\d+)m(\d+)\."
+REAL_TIME = r"(?m)^real\t(\d+)m(\d+)\."
 FIRST_GENERATION = r"(?ms)^Starting calibration$.*?^Generation (\d{1,3})"
 DRAINING_AREA = r"(?m)^DrainingArea\.km2\.LDD {10}\s*([^\n]+)"
 INFLOWS = r"(?m)^Found ([^\n]*?) ?inflows$"

@@ -39,7 +39,7 @@ def interstation_regions(ldd: DataFrame, gauges: DataFrame, hot_rows: int = HOT_
         raise ValueError(f"{shared[0]['n']} stations share cell {shared[0]['cell']}")
     stops = gauges.select("cell", F.col("obsid").alias("region"))
     passing = ldd.join(stops, "cell", "left_anti").filter("down IS NOT NULL").select("cell", F.col("down").alias("next"))
-    ends = follow(settle(passing), [], hot_rows).select("cell", F.col("end").alias("at"))
+    ends = follow(passing, [], hot_rows).select("cell", F.col("end").alias("at"))
     still = ldd.join(stops, "cell", "left").filter("region IS NOT NULL OR down IS NULL").select("cell", F.col("cell").alias("at"))
     return attach(ends.unionByName(still), stops.withColumnRenamed("cell", "at"), ["at"], "left", hot_rows=hot_rows).select(
         "cell", F.coalesce("region", F.lit(NO_STATION)).alias("region"))
@@ -75,27 +75,27 @@ def station_tree(parents: DataFrame, regions: DataFrame, hot_rows: int = HOT_ROW
         n_moving = moving.count()
         if not n_moving:
             break
-        behind = settle(moving.groupBy(F.col("jump").alias("obsid")).agg(
-            F.sum("upstream_cells").alias("_cells"), (F.max("wave") + F.lit(reach)).alias("_wave")))
-        late.append(behind.join(moving, "obsid", "left_anti").toDF(*growth))
+        behind = moving.groupBy(F.col("jump").alias("obsid")).agg(
+            F.sum("upstream_cells").alias("_cells"), (F.max("wave") + F.lit(reach)).alias("_wave"))
         ahead = reduce(DataFrame.unionByName, ended, moving).select(
             F.col("obsid").alias("jump"), F.col("jump").alias("_jump"), F.col("depth").alias("_depth"), F.col("root").alias("_root"))
         state = settle(
             salted_join(moving, ahead, ["jump"], "left", hot_rows, n_rows=n_moving)
-            .join(behind, "obsid", "left").select(
+            .join(behind, "obsid", "full_outer").select(
                 "obsid", F.col("_jump").alias("jump"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
                 F.coalesce("_root", "root").alias("root"),
-                (F.col("upstream_cells") + F.coalesce("_cells", F.lit(0))).alias("upstream_cells"),
+                (F.coalesce("upstream_cells", F.lit(0)) + F.coalesce("_cells", F.lit(0))).alias("upstream_cells"),
                 F.greatest("wave", "_wave").alias("wave")))
-        ended, moving = [*ended, state.filter("jump IS NULL")], state.filter("jump IS NOT NULL")
+        late.append(state.filter("depth IS NULL").select(growth))  # only growth: the station has left the loop
+        ended, moving = [*ended, state.filter("jump IS NULL AND depth IS NOT NULL")], state.filter("jump IS NOT NULL")
         reach *= 2
     else:
         raise ValueError("the station links have a cycle")
-    reached = reduce(DataFrame.unionByName, ended)
-    totals = (reduce(DataFrame.unionByName, late, reached.select(growth)).groupBy("obsid")
-              .agg(F.sum("upstream_cells").alias("upstream_cells"), F.max("wave").alias("wave")))
-    return settle(facts.join(reached.select("obsid", "depth", "root"), "obsid").join(totals, "obsid").select(
-        "obsid", "parent", "depth", "root", "own_cells", "upstream_cells", "wave"))
+    parts = [facts, *[e.drop("jump") for e in ended], *late]
+    merged = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts).groupBy("obsid")
+    return settle(merged.agg(
+        *[F.max(c).alias(c) for c in ("parent", "depth", "root", "own_cells")],
+        F.sum("upstream_cells").alias("upstream_cells"), F.max("wave").alias("wave")))
 
 
 def cell_frequency(regions: DataFrame, tree: DataFrame) -> DataFrame:

@@ -235,7 +235,7 @@ def test_written_tables_do_not_grow_with_the_front(spark, monkeypatch):
     for module in (h, h.fronts):
         monkeypatch.setattr(module, "settle", counted)
     used = []
-    for n in (50, 3000):  # all on one sphere: every point is in the set
+    for n in (1500, 6000):  # all on one sphere: every point is in the set
         u, v = F.rand(1) * 1.5, F.rand(2) * 1.5
         ball = spark.range(n).select(F.lit(1).alias("obsid"), F.col("id").alias("run"), (F.cos(u) * F.cos(v)).alias("a"),
                                      (F.sin(u) * F.cos(v)).alias("b"), F.sin(v).alias("c"))

@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from gaugeflow.operators import grid, network, placement
 
 
+@pytest.fixture(autouse=True)
+def small_shuffles(spark):
+    """The networks are tiny and the loops many."""
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def random_network(seed, cells=120, share=0.2, wide=False):
     rng = random.Random(seed)
     down = {c: None if c == 0 or rng.random() < 0.03 else rng.randrange(0 if wide else max(0, c - 4), c)
