@@ -2,18 +2,24 @@
 
 A word becomes a symbol: insult (with a weight), threat, target, negation, reported speech or other.
 Insults are learned from labelled documents: whole words and word beginnings whose document
-frequency differs between toxic and clean documents. Three transducers follow a clause: one
-remembers a negation for three words, one a target for four, one reported speech to the clause's
-end. Their composition is one table of states. An insult or threat leaves the table through the
-channel its state opens (plain, at a target, negated, reported; threats only at a target), so a
-matched clause is scored and not an isolated word. A document's channel sums enter a logistic model.
-
-The fit reads at most ``SAMPLE`` labelled rows, those with the smallest hash of doc_id, and keeps at
-most ``ENTRIES`` lexicon entries; equal texts count once. Scoring reads every whole text and nothing but the text.
-
-Defined cases: a null or empty text scores like a text without insults; null labels are not used;
-without labels every score is 0.5; rows that repeat a doc_id are scored each; a label that repeats
-a doc_id counts as often as it matches.
+frequency differs between toxic and clean documents, counted only where a clause could match.
+Transducers follow a clause forwards (negation for three words, target for four, reported speech,
+company of other words) and backwards (target, reported speech, company). Each direction is composed
+into one table of states; the pair of states around an insult or threat picks its channel:
+aimed (a target near it), predicated (no target, but at least ``COMPANY`` other words in the clause),
+negated, reported, or threat (at a target). A word that stands alone matches nothing, so it scores
+like the empty text. Channel sums enter a logistic model whose weights are ordered, whatever the
+labels say: aimed above predicated above negated and reported, and all above zero. Channels that the
+labelled rows never show (threats, say) keep their ``PRIOR``.
+
+The fit reads at most ``SAMPLE`` labelled rows, those with the smallest hash of doc_id; equal texts
+count once in the lexicon. Scoring reads every whole text and nothing but the text.
+
+Defined cases: a null or empty text scores like a text without matches; a very long text is read
+clause by clause, clauses without insult or threat only once; null labels are not used; without
+labels every score is 0.5; an empty table gives an empty result; rows that repeat a doc_id are
+scored each; a label that repeats a doc_id counts as often as it matches, up to ``SAMPLE`` rows in
+all, ties by features; columns other than id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import product
 from typing import NamedTuple
 
 import numpy as np
@@ -31,10 +38,10 @@ from pyspark.sql import functions as F
 from gaugeflow.llm.common import id_and_text, id_of, key_of
 
 SAMPLE = 20_000
-ENTRIES = 5_000
 LEAST_EVIDENCE = 30.0  # likelihood ratio of an entry's document counts
 LEAST_WEIGHT = 4.0  # logarithm of the odds ratio
 BEGINNINGS = (4, 5, 6)
+COMPANY = 2  # other words that make a clause of an insult without a target
 REJECT = 0.7
 CACHE = 300_000  # words whose symbol a task remembers
 
@@ -49,11 +56,15 @@ THREATS = frozenset("kill hurt destroy shoot stab strangle murder töten umbring
                     "matar golpear destruir".split())
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-CHANNELS = ("plain", "aimed", "negated", "reported", "threat")
-PLAIN, AIMED, NEGATED, REPORTED, THREATENED = range(5)
+CHANNELS = ("predicated", "aimed", "negated", "reported", "threat")
+PREDICATED, AIMED, NEGATED, REPORTED, THREATENED = range(5)
+# steps from one channel's weight to the next: negated, reported, from these to predicated, from that to aimed, threat
+STEPS = np.array([[1, 1, 1, 0, 0], [1, 1, 1, 1, 0], [1, 0, 0, 0, 0], [0, 1, 0, 0, 0], [0, 0, 0, 0, 1]], float)
+PRIOR = np.array([0.1, 0.1, 0.6, 0.4, 1.0])
+LEAST_STEP = 0.05
 NEGATION_SPAN, TARGET_SPAN = 3, 4
-TOKEN = re.compile(r"[^\W\d_]+|[.!?;:|\n]")
 WORD = re.compile(r"[^\W\d_]+")
+CLAUSE = re.compile(r"[^.!?;:|\n]+")
 
 
 class Transducer(NamedTuple):
@@ -74,31 +85,59 @@ def latch(symbol: int) -> Transducer:
     return Transducer([[int(on or s == symbol) for s in range(6)] for on in (0, 1)], [False, True])
 
 
-def composed() -> tuple[np.ndarray, np.ndarray]:
-    """Product of the transducers: next state, and channel of each symbol in each state (-1: none)."""
-    negation, target, report = countdown(NEGATION, NEGATION_SPAN), countdown(TARGET, TARGET_SPAN), latch(REPORT)
-    states = [(n, t, r) for n in range(len(negation.on)) for t in range(len(target.on)) for r in range(len(report.on))]
+def company() -> Transducer:
+    """Words so far, up to ``COMPANY``."""
+    return Transducer([[min(k + 1, COMPANY)] * 6 for k in range(COMPANY + 1)], [k > 0 for k in range(COMPANY + 1)])
+
+
+def product_of(parts: list[Transducer]) -> tuple[list[tuple[int, ...]], list[list[int]]]:
+    """States of the composition and its next state by state and symbol."""
+    states = list(product(*(range(len(p.on)) for p in parts)))
     number = {s: i for i, s in enumerate(states)}
-    follow = np.zeros((len(states), 6), np.int64)
-    channel = np.full((len(states), 6), -1, np.int64)
-    for i, (n, t, r) in enumerate(states):
-        for s in range(6):
-            follow[i, s] = number[negation.follow[n][s], target.follow[t][s], report.follow[r][s]]
-        aimed = target.on[t]
-        marked = REPORTED if report.on[r] else NEGATED if negation.on[n] else None
-        channel[i, INSULT] = marked if marked is not None else AIMED if aimed else PLAIN
-        if aimed:
-            channel[i, THREAT] = marked if marked is not None else THREATENED
-    return follow, channel
+    return states, [[number[tuple(p.follow[k][s] for p, k in zip(parts, state))] for s in range(6)] for state in states]
+
+
+def composed() -> tuple[list[list[int]], list[list[int]], list]:
+    """Next states forwards and backwards, and the channel of state, symbol and state (-1: none)."""
+    negation, target, report, words = countdown(NEGATION, NEGATION_SPAN), countdown(TARGET, TARGET_SPAN), latch(REPORT), company()
+    before, ahead = product_of([negation, target, report, words])
+    after, behind = product_of([target, report, words])
+    channel = [[[-1] * len(after) for _ in range(6)] for _ in before]
+    for i, (n, t, r, k) in enumerate(before):
+        for j, (t2, r2, k2) in enumerate(after):
+            aimed = target.on[t] or target.on[t2]
+            marked = REPORTED if report.on[r] or report.on[r2] else NEGATED if negation.on[n] else None
+            if aimed or k + k2 >= COMPANY:
+                channel[i][INSULT][j] = marked if marked is not None else AIMED if aimed else PREDICATED
+            if aimed:
+                channel[i][THREAT][j] = marked if marked is not None else THREATENED
+    return ahead, behind, channel
 
 
-FOLLOW, CHANNEL = (table.tolist() for table in composed())
+AHEAD, BEHIND, CHANNEL = composed()
+
+
+def matched(symbols: list[int]) -> list[int]:
+    """Channel of each symbol of one clause."""
+    after = [0] * len(symbols)
+    for i in range(len(symbols) - 1, 0, -1):
+        after[i - 1] = BEHIND[after[i]][symbols[i]]
+    out, state = [], 0
+    for s, end in zip(symbols, after):
+        out.append(CHANNEL[state][s][end])
+        state = AHEAD[state][s]
+    return out
 
 
 def entries_of(word: str) -> list[str]:
     return [f"={word}", *[word[:k] for k in BEGINNINGS if len(word) >= k]]
 
 
+def matchable(words: list[str]) -> list[str]:
+    """Words of a clause that would match as insults: there is enough company or a target."""
+    return words if len(words) > COMPANY or any(w in TARGETS for w in words) else []
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
@@ -132,16 +171,12 @@ class Grammar:
         symbol = self.symbol
         if not any(symbol(w)[1] for w in set(WORD.findall(text))):
             return out
-        state = 0
-        for token in TOKEN.findall(text):
-            if len(token) == 1 and not token.isalpha():
-                state = 0
-                continue
-            s, weight = symbol(token)
-            to = CHANNEL[state][s]
-            if to >= 0:
-                out[to] += weight
-            state = FOLLOW[state][s]
+        for clause in CLAUSE.finditer(text):
+            found = [symbol(w) for w in WORD.findall(clause[0])]
+            if any(weight for _, weight in found):
+                for (_, weight), to in zip(found, matched([s for s, _ in found])):
+                    if to >= 0:
+                        out[to] += weight
         return out
 
     def score(self, features: np.ndarray) -> np.ndarray:
@@ -150,21 +185,37 @@ class Grammar:
 
 def design(features: np.ndarray) -> np.ndarray:
     features = np.asarray(features, float).reshape(-1, len(CHANNELS))
-    return np.column_stack([np.ones(len(features)), features.sum(axis=1) > 0, np.log1p(features)])
-
-
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
-    """Penalised maximum likelihood by Newton steps."""
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
-    penalty[0] = 1e-6
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9), x.T @ (y - p) - penalty * w)
-        w = w + np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+    return np.column_stack([np.ones(len(features)), np.log1p(features)])
+
+
+def ordered_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Penalised maximum likelihood of intercept and channel weights, by projected Newton steps.
+
+    The weights are sums of steps of at least ``LEAST_STEP``, drawn to ``PRIOR`` by the ridge.
+    """
+    x = np.column_stack([x[:, 0], x[:, 1:] @ STEPS])
+    low = np.r_[-np.inf, np.full(len(PRIOR), LEAST_STEP)]
+    middle, penalty = np.r_[0.0, PRIOR], np.r_[1e-6, np.full(len(PRIOR), ridge)]
+    v = middle.copy()
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float((np.logaddexp(0, z) - y * z).sum() + (penalty * (v - middle) ** 2).sum() / 2)
+
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
+        slope = x.T @ (p - y) + penalty * (v - middle)
+        free = ~((v <= low) & (slope > 0))
+        bend = ((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty))[np.ix_(free, free)]
+        step, size, before = np.zeros(len(v)), 1.0, loss(v)
+        step[free] = np.linalg.solve(bend, slope[free])
+        while size > 1e-6 and loss(np.maximum(v - size * step, low)) > before:
+            size /= 2
+        new = np.maximum(v - size * step, low)
+        if np.abs(new - v).max() < 1e-9 or size <= 1e-6:
             break
-    return w
+        v = new
+    return np.r_[v[0], STEPS @ v[1:]]
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[str]:
@@ -176,7 +227,7 @@ def _entry_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         held = (Counter(), Counter())
         for text, toxic in zip(_texts(batch), batch.column(2).to_pylist()):
-            words = set(WORD.findall(text.lower()))
+            words = {w for clause in CLAUSE.findall(text.lower()) for w in matchable(WORD.findall(clause))}
             held[toxic].update({e for w in words for e in entries_of(w)})
         names = list(held[0].keys() | held[1].keys())
         yield pa.RecordBatch.from_arrays(
@@ -193,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = id_and_text(docs, id_col, text_col).join(F.broadcast(known), "_id").select("_id", "_text", "_toxic")
     toxic, clean = (sum(r["_toxic"] == v for r in rows) for v in (1, 0))
     if not toxic or not clean:  # nothing to learn from
-        return Grammar({}, np.zeros(2 + len(CHANNELS)))
+        return Grammar({}, np.zeros(1 + len(CHANNELS)))
     distinct = texts.dropDuplicates(["_text"])  # copies of one text are one piece of evidence
     counts = distinct.mapInArrow(_entry_counts, "entry string, c long, t long").groupBy("entry").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
     share = toxic / (toxic + clean)
@@ -206,19 +257,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     evidence = 2 * (part(F.col("t"), share) + part(F.col("c"), 1 - share))
     kept = (counts.withColumn("weight", weight).withColumn("evidence", evidence)
             .filter((F.col("weight") >= LEAST_WEIGHT) & (F.col("evidence") >= LEAST_EVIDENCE))
-            .orderBy(F.desc("evidence"), "entry").limit(ENTRIES).select("entry", "weight").collect())
+            .select("entry", "weight").collect())  # entries of at most SAMPLE texts that many of them share
     grammar = Grammar({r["entry"]: r["weight"] for r in kept})
     shared = docs.sparkSession.sparkContext.broadcast(grammar)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([shared.value.channels(t) for t in _texts(batch)]).reshape(-1, len(CHANNELS))
-            yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in found.T], batch.column(2)], names=[*CHANNELS, "toxic"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in found.T], batch.column(2)], names=["id", *CHANNELS, "toxic"])
 
-    table = texts.mapInArrow(features, ", ".join(f"{c} double" for c in CHANNELS) + ", toxic int").toArrow()
+    rated = texts.mapInArrow(features, "id long, " + ", ".join(f"{c} double" for c in CHANNELS) + ", toxic int")
+    table = rated.orderBy(F.xxhash64("id"), *rated.columns).limit(SAMPLE).toArrow()  # numbers only
     x = np.column_stack([table.column(c).to_numpy() for c in CHANNELS])
-    order = np.lexsort(x.T)  # the same sums whatever the order of the rows
-    grammar.weights = logistic(design(x[order]), table.column("toxic").to_numpy()[order].astype(float))
+    y = table.column("toxic").to_numpy().astype(float)
+    grammar.weights = ordered_logistic(design(x), y)
     return grammar
 
 
