@@ -44,6 +44,12 @@ def check_step(minutes: int) -> int:
     return minutes
 
 
+def checked_minutes(minutes: Column) -> Column:
+    """``check_step`` for a column: any other step fails the job."""
+    text = F.concat(F.lit("time step not supported: "), F.coalesce(minutes.cast("string"), F.lit("NULL")))
+    return F.when(F.coalesce(minutes.isin(*STEP_MINUTES), F.lit(False)), minutes).otherwise(F.raise_error(text).cast("int"))
+
+
 def step_hours(cal_type: Column) -> Column:
     """Hours per step from a calibration type: 6, 24, or text with ``_6h`` / ``_24h``."""
     text = cal_type.cast("string")

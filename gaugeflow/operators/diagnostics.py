@@ -23,13 +23,17 @@ def states_wide(states: DataFrame, variables: list[str] | None = None) -> DataFr
 
 def diagnostic_table(sim: DataFrame, obs: DataFrame, states: DataFrame, records: DataFrame,
                      scores: DataFrame, variables: list[str] | None = None) -> DataFrame:
-    """Long-run simulation with observations, states, best scores and the period of each step."""
+    """Long-run simulation with observations, states, best scores and the period of each step.
+
+    Every station of the simulation stays; without scores they are NULL, without a split date the
+    period is ``other``.
+    """
     per_station = records.select("obsid", "Split_date").join(
-        scores.select("obsid", "kge", "corr", "bias", "spread"), "obsid")
+        scores.select("obsid", "kge", "corr", "bias", "spread"), "obsid", "full")
     joined = (
         sim.select("obsid", "ts", "s")
         .join(obs.select("obsid", "ts", "o"), ["obsid", "ts"], "left")
         .join(states_wide(states, variables), ["obsid", "ts"], "left")
     )
     period = F.when(F.col("ts") >= F.col("Split_date"), F.lit("calibration")).otherwise(F.lit("other"))
-    return attach(joined, per_station, ["obsid"]).withColumn("period", period).drop("Split_date")
+    return attach(joined, per_station, ["obsid"], "left").withColumn("period", period).drop("Split_date")

@@ -1,8 +1,8 @@
 """Goodness of fit of simulated (``s``) against observed (``o``) values.
 
 All scores of a group come from one aggregation over shared moments. Groups with fewer than two
-valid pairs have NULL scores. Objective tuples leave such groups out unless ``every_key`` is set,
-which keeps every key of the pairs, with the worst kge and NULL for the rest.
+valid pairs have NULL scores. Objective tuples keep every key of the pairs, with the worst kge and
+NULL for the rest where fewer than two pairs are valid.
 """
 
 from __future__ import annotations
@@ -115,19 +115,16 @@ def _log_moments() -> list[Column]:
                           F.when(both, log_or_null(F.col("o"))), "log_")
 
 
-def _moments(pairs: DataFrame, keys: list[str], logs: bool, every_key: bool = False) -> DataFrame:
+def _moments(pairs: DataFrame, keys: list[str], logs: bool) -> DataFrame:
     columns = moment_columns(F.col("s"), F.col("o"))
     if logs:
         columns += _log_moments()
-    kept = blanked_pairs(pairs) if every_key else valid_pairs(pairs)
-    return kept.groupBy(*keys).agg(*columns)
+    return blanked_pairs(pairs).groupBy(*keys).agg(*columns)
 
 
-def _tuples(table: DataFrame, keys: list[str], kge: Column, every_key: bool, **parts: Column) -> DataFrame:
-    """Objective tuples of the groups with two valid pairs, or of every group."""
+def _tuples(table: DataFrame, keys: list[str], kge: Column, **parts: Column) -> DataFrame:
+    """Objective tuples of every group; undefined below two valid pairs."""
     enough = M["n"] > 1
-    if not every_key:
-        return table.filter(enough).select(*keys, kge.alias("kge"), *[c.alias(k) for k, c in parts.items()])
     return table.select(*keys, F.when(enough, kge).otherwise(F.lit(KGE_FLOOR)).alias("kge"),
                         *[F.when(enough, c).alias(k) for k, c in parts.items()])
 
@@ -166,26 +163,25 @@ def low_flow_threshold(pairs: DataFrame, keys: list[str], percentile: float) ->
     return values_at_ranks(valid_pairs(pairs), keys, "o", {"threshold": rank})
 
 
-def objectives(pairs: DataFrame, keys: list[str], every_key: bool = False) -> DataFrame:
+def objectives(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """Objective tuple (kge, corr, bias, spread, sae); an undefined kge is the floor."""
-    return _tuples(_moments(pairs, keys, False, every_key), keys, floored(M.kge), every_key,
+    return _tuples(_moments(pairs, keys, False), keys, floored(M.kge),
                    corr=M.correlation, bias=M.bias_ratio, spread=M.spread_ratio, sae=M["sae"])
 
 
-def statistics(pairs: DataFrame, keys: list[str], every_key: bool = False) -> DataFrame:
+def statistics(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """Objective tuple plus the Nash-Sutcliffe efficiency."""
-    return _tuples(_moments(pairs, keys, False, every_key), keys, floored(M.kge), every_key,
+    return _tuples(_moments(pairs, keys, False), keys, floored(M.kge),
                    corr=M.correlation, bias=M.bias_ratio, spread=M.spread_ratio, sae=M["sae"],
                    nse=METRICS["nse"]())
 
 
 def objectives_low_flow(pairs: DataFrame, keys: list[str], percentile: float,
-                        peaks_only: bool = False, every_key: bool = False) -> DataFrame:
+                        peaks_only: bool = False) -> DataFrame:
     """Objective tuple with bias from low flow (or peaks only) and spread from the peaks."""
     if not 0 < percentile <= 1:
         raise ValueError("the percentile lies in (0, 1]")
-    kept, how = (blanked_pairs(pairs), "left") if every_key else (valid_pairs(pairs), "inner")
-    flagged = attach_stats(kept, low_flow_threshold(pairs, keys, percentile), keys, how)
+    flagged = attach_stats(blanked_pairs(pairs), low_flow_threshold(pairs, keys, percentile), keys, "left")
     s, o = F.col("s"), F.col("o")
     peak = o > F.col("threshold")
     low = peak if peaks_only else ~peak
@@ -194,12 +190,11 @@ def objectives_low_flow(pairs: DataFrame, keys: list[str], percentile: float,
         *moment_columns(F.when(peak, s), F.when(peak, o), "peak_"),
         *moment_columns(F.when(low, s), F.when(low, o), "low_"))
     bias, spread = Moments("low_").bias_ratio, Moments("peak_").spread_ratio
-    return _tuples(table, keys, floored(efficiency(M.correlation, bias, spread)), every_key,
+    return _tuples(table, keys, floored(efficiency(M.correlation, bias, spread)),
                    corr=M.correlation, bias=bias, spread=spread, sae=M["sae"])
 
 
-def objectives_log_weighted(pairs: DataFrame, keys: list[str], weight: float,
-                            every_key: bool = False) -> DataFrame:
+def objectives_log_weighted(pairs: DataFrame, keys: list[str], weight: float) -> DataFrame:
     """Objective tuple blended with the tuple of the logs; the sixth power drops the sign.
 
     Components that need a log are NULL when a value of the group is not positive.
@@ -212,7 +207,7 @@ def objectives_log_weighted(pairs: DataFrame, keys: list[str], weight: float,
         return F.pow(F.pow((1 - weight) * plain, F.lit(6.0))
                      + F.pow(weight * logged, F.lit(6.0)), F.lit(1.0 / 6.0))
 
-    return _tuples(_moments(pairs, keys, True, every_key), keys, blend(floored(M.kge), L.kge), every_key,
+    return _tuples(_moments(pairs, keys, True), keys, blend(floored(M.kge), L.kge),
                    corr=blend(M.correlation, L.correlation), bias=blend(M.bias_ratio, L.bias_ratio),
                    spread=blend(M.spread_ratio, L.spread_ratio), sae=M["sae"])
 

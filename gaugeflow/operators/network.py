@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.skew import HOT_ROWS, attach, running_total, salted_join
+from gaugeflow.functions.skew import HOT_ROWS, attach, attach_stats, running_total, salted_join
 from gaugeflow.operators.placement import MAX_ROUNDS, first_come, follow
 from gaugeflow.session import settle
 
@@ -29,6 +29,21 @@ def station_conflicts(gauges: DataFrame, ldd: DataFrame) -> DataFrame:
     return lost.unionByName(crowded)
 
 
+def outlet_conflicts(gauges: DataFrame, outlets: DataFrame) -> DataFrame:
+    """Stations whose id the outlet cells don't hold exactly once, or whose own cell holds another id.
+
+    ``outlets`` are (cell, station); ``found`` is the number of cells with the id, ``instead`` what
+    the station's cell holds.
+    """
+    counted = outlets.groupBy(F.col("station").alias("obsid")).agg(F.count(F.lit(1)).alias("found"))
+    held = outlets.groupBy("cell").agg(F.min("station").alias("instead"))
+    joined = attach_stats(attach_stats(gauges.select("obsid", "cell"), counted, ["obsid"], "left"), held, ["cell"], "left")
+    found, other = F.coalesce(F.col("found"), F.lit(0)), F.coalesce(F.col("instead") != F.col("obsid"), F.lit(False))
+    text = (F.when(found == 0, F.lit("lost")).when(found > 1, F.lit("found multiple times"))
+            .when(other, F.lit("wrong id")))
+    return joined.select("obsid", "cell", found.alias("found"), "instead", text.alias("conflict")).filter("conflict IS NOT NULL")
+
+
 def interstation_regions(ldd: DataFrame, gauges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(cell, region): the nearest station at or downstream of the cell, or -1.
 

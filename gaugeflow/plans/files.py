@@ -170,7 +170,7 @@ def ranked_export_files(spark, sf_dir):
 
 def stored_statistics(spark, sf_dir):
     path = _folder(spark)
-    tables.write_table(metrics.statistics(verification._pairs_with_gaps(spark, sf_dir), ["obsid"], every_key=True), path)
+    tables.write_table(metrics.statistics(verification._pairs_with_gaps(spark, sf_dir), ["obsid"]), path)
     return rounded(spark.read.parquet(path), "obsid")
 
 

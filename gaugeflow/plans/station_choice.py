@@ -32,6 +32,13 @@ def screened_stations(spark, sf_dir):
     return screened.select("obsid", "n_data", F.col("is_valid").cast("int").alias("is_valid"))
 
 
+def valid_stations(spark, sf_dir):
+    """Ids of the valid stations; a table without any fails."""
+    screened = settle(selection.screen_stations(
+        v.stations(spark, sf_dir), v.observations(spark, sf_dir), FORCING, MIN_TYPE))
+    return selection.require_any_valid(screened).filter("is_valid").select("obsid")
+
+
 def windowed_observations(spark, sf_dir):
     windowed = selection.observation_windows(v.stations(spark, sf_dir), FORCING)
     return rounded(selection.in_window(v.observations(spark, sf_dir), windowed)
@@ -124,7 +131,7 @@ def cleaned_values(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    calibration_stations, record_lengths, screened_stations, windowed_observations,
+    calibration_stations, record_lengths, screened_stations, valid_stations, windowed_observations,
     trimmed_observations, split_dates, split_dates_short_records, documented_periods,
     station_records, run_plan, debug_run_windows, unknown_stations, work_list, pending_stations,
     station_texts, cleaned_values)}
@@ -178,6 +185,8 @@ ORACLES = {
     "screened_stations": f"""with {_LENGTHS} select obsid, n_data,
       cast(period_days>=Min_calib_days as int) is_valid from len
       where try_cast(EC_calib as int)>={MIN_TYPE}""",
+    "valid_stations": f"""with {_LENGTHS} select obsid from len
+      where try_cast(EC_calib as int)>={MIN_TYPE} and period_days>=Min_calib_days""",
     "windowed_observations": f"with {_BASE} select obsid, {_stamp('ts')}, round(q,6) q from inw",
     "trimmed_observations": f"""with ob as ({v.OBSERVATIONS}),
       b as (select obsid, min(ts) a, max(ts) z from ob where q is not null group by obsid)

@@ -40,6 +40,15 @@ def station_conflicts(spark, sf_dir):
     return network.station_conflicts(near, ldd)
 
 
+def outlet_conflicts(spark, sf_dir):
+    """Suppliers as stations; the outlet cells of customers hold station ids, some of them shifted or repeated."""
+    gauges = v.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("obsid"), (F.col("s_suppkey") * 3).alias("cell"))
+    held = F.col("c_custkey") % 3 + F.floor(F.col("c_custkey") / 3) + F.when(F.col("c_custkey") % 5 == 0, 1).otherwise(0)
+    outlets = v.table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0 OR c_nationkey = 7").select(
+        F.col("c_custkey").alias("cell"), held.cast("long").alias("station"))
+    return network.outlet_conflicts(gauges, outlets)
+
+
 def interstation_regions(spark, sf_dir):
     return _regions(spark, sf_dir)[2]
 
@@ -226,7 +235,7 @@ def calibration_counts(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    station_conflicts, interstation_regions, sampling_frequency, station_tree, direct_links, links_wide,
+    station_conflicts, outlet_conflicts, interstation_regions, sampling_frequency, station_tree, direct_links, links_wide,
     inlet_cells, nested_groups, group_areas, worker_allocation, thinned_stations, upstream_inflows,
     upstream_inflows_wide, missing_upstream, inflow_flags, bounding_boxes, clipped_grid, masked_cells,
     station_outlets, inlets_in_masks, parameter_mosaic, parameter_mosaic_flagged, overridden_values,
@@ -313,6 +322,13 @@ ORACLES = {
       select obsid, cell, 'off grid' conflict from gg where cell not in (select c_custkey from customer)
       union all select obsid, cell, 'shared cell' from gg
       where cell in (select cell from gg group by cell having count(*)>1)""",
+    "outlet_conflicts": """with g as (select s_suppkey obsid, s_suppkey*3 cell from supplier),
+        o as (select c_custkey cell, c_custkey%3+c_custkey//3+case when c_custkey%5=0 then 1 else 0 end station
+          from customer where c_custkey%3=0 or c_nationkey=7)
+      select *, case when found=0 then 'lost' when found>1 then 'found multiple times' else 'wrong id' end conflict
+      from (select obsid, cell, (select count(*) from o where station=obsid) found,
+        (select min(station) from o where o.cell=g.cell) "instead" from g)
+      where found<>1 or "instead"<>obsid""",
     "interstation_regions": f"{_WALK} select * from reg",
     "sampling_frequency": f"""{_WALK} select net.cell, count(h.k) frequency from net
       left join hits h on h.origin=net.cell group by 1""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.values import step_hours
+from gaugeflow.functions.values import checked_minutes, step_hours
 from gaugeflow.operators import alignment, events, extremes, metrics
 from gaugeflow.plans import views as v
 from gaugeflow.plans.views import rounded
@@ -48,11 +48,11 @@ def index_of_agreement(spark, sf_dir):
 
 
 def objectives_by_run(spark, sf_dir):
-    return rounded(metrics.objectives(v.pairs_by_run(spark, sf_dir), RUN_KEY, every_key=True), *RUN_KEY)
+    return rounded(metrics.objectives(v.pairs_by_run(spark, sf_dir), RUN_KEY), *RUN_KEY)
 
 
 def statistics_by_station(spark, sf_dir):
-    return rounded(metrics.statistics(_pairs_with_gaps(spark, sf_dir), KEY, every_key=True), *KEY)
+    return rounded(metrics.statistics(_pairs_with_gaps(spark, sf_dir), KEY), *KEY)
 
 
 def low_flow_threshold(spark, sf_dir):
@@ -60,15 +60,15 @@ def low_flow_threshold(spark, sf_dir):
 
 
 def objectives_low_flow(spark, sf_dir):
-    return rounded(metrics.objectives_low_flow(_stored(spark, sf_dir), KEY, LOW_FLOW, every_key=True), *KEY)
+    return rounded(metrics.objectives_low_flow(_stored(spark, sf_dir), KEY, LOW_FLOW), *KEY)
 
 
 def objectives_peaks_only(spark, sf_dir):
-    return rounded(metrics.objectives_low_flow(_stored(spark, sf_dir), KEY, LOW_FLOW, True, every_key=True), *KEY)
+    return rounded(metrics.objectives_low_flow(_stored(spark, sf_dir), KEY, LOW_FLOW, True), *KEY)
 
 
 def objectives_log_weighted(spark, sf_dir):
-    return rounded(metrics.objectives_log_weighted(v.pairs_daily(spark, sf_dir), KEY, LOG_WEIGHT, every_key=True), *KEY)
+    return rounded(metrics.objectives_log_weighted(v.pairs_daily(spark, sf_dir), KEY, LOG_WEIGHT), *KEY)
 
 
 def mae_skill_peaks(spark, sf_dir):
@@ -224,6 +224,13 @@ def performance_diagram(spark, sf_dir):
     return rounded(events.diagram_points(_table(spark, sf_dir), ["obsid", "threshold"]), "obsid", "threshold")
 
 
+def checked_steps(spark, sf_dir):
+    """Steps of each customer's series; one of another length fails the job."""
+    minutes = checked_minutes(F.when(F.col("o_custkey") % 2 == 0, 360).otherwise(1440))
+    orders = v.table(spark, sf_dir, "orders").withColumn("minutes", minutes)
+    return orders.groupBy(F.col("o_custkey").alias("obsid"), "minutes").agg(F.count(F.lit(1)).alias("n"))
+
+
 def step_hours_of_types(spark, sf_dir):
     return v.stations(spark, sf_dir).select("obsid", step_hours(F.col("CAL_TYPE")).alias("hours"))
 
@@ -235,7 +242,7 @@ QUERIES = {f.__name__: f for f in (
     daily_means, resampled_pairs, dense_series, alignment_violations, step_numbers, period_maxima,
     series_bounds, plotting_positions, gumbel_fit, gumbel_moments, return_levels, contingency,
     return_level_contingency, event_scores, event_summaries, performance_diagram,
-    step_hours_of_types)}
+    checked_steps, step_hours_of_types)}
 
 
 # --- reference SQL ------------------------------------------------------------------------
@@ -284,6 +291,13 @@ def _tuple(keys: str = "obsid", extra: str = "") -> str:
         from v group by {keys} having count(*)>1"""
 
 
+def _every(scored: str, view: str, keys: str = "obsid") -> str:
+    """Every key of the pairs: the floor where no score is defined."""
+    return f"""with scored as ({scored}), every as (select distinct {keys}, true as present from ({view})),
+        paired as (select * from every left join scored using ({keys}))
+      select * exclude (present) replace (case when sae is null then -100.0 else kge end as kge) from paired"""
+
+
 _THRESHOLD = f"""r as (select obsid, o, row_number() over (partition by obsid order by o)-1 i,
       count(*) over (partition by obsid) n from v),
     q as (select *, least(cast({LOW_FLOW} as double)*n, n-1.0::double) pos from r),
@@ -412,12 +426,12 @@ ORACLES = {
     "index_of_agreement": _valid(v.PAIRS_DAILY) + """, m as (select *, avg(o) over (partition by obsid) mo from v)
       select obsid, round(case when count(*)>1 then 1-sum((o-s)*(o-s))
         /nullif(sum(power(abs(s-mo)+abs(o-mo),2)),0) end,6) index_agreement from m group by obsid""",
-    "objectives_by_run": _valid(v.PAIRS_BY_RUN) + _tuple("obsid, run"),
-    "statistics_by_station": _valid(v.SERIES_6H) + _tuple("obsid", f", round({_NSE},6) nse"),
+    "objectives_by_run": _every(_valid(v.PAIRS_BY_RUN) + _tuple("obsid, run"), v.PAIRS_BY_RUN, "obsid, run"),
+    "statistics_by_station": _every(_valid(v.SERIES_6H) + _tuple("obsid", f", round({_NSE},6) nse"), v.SERIES_6H),
     "low_flow_threshold": _valid(v.SERIES_6H) + f", {_THRESHOLD} select obsid, round(threshold,6) threshold from t",
-    "objectives_low_flow": _low_flow(False),
-    "objectives_peaks_only": _low_flow(True),
-    "objectives_log_weighted": _log_weighted(),
+    "objectives_low_flow": _every(_low_flow(False), v.PAIRS_DAILY),
+    "objectives_peaks_only": _every(_low_flow(True), v.PAIRS_DAILY),
+    "objectives_log_weighted": _every(_log_weighted(), v.PAIRS_DAILY),
     "mae_skill_peaks": _valid(v.PAIRS_DAILY) + f""", {_THRESHOLD}
       select obsid, case when count(*)>1 then round(1-avg(abs(s-o)),6) end mae_skill from v join t using (obsid)
       where o>threshold group by obsid""",
@@ -480,6 +494,8 @@ ORACLES = {
     "performance_diagram": _scores({
         "success_ratio": f"1-{_SCORE_SQL['FAR']}", "hit_rate": _SCORE_SQL["HR"],
         "bias": _SCORE_SQL["B"], "threat_score": _SCORE_SQL["TS"]}),
+    "checked_steps": """select o_custkey obsid, case when o_custkey%2=0 then 360 else 1440 end "minutes", count(*) n
+      from orders group by 1, 2""",
     "step_hours_of_types": f"""select obsid, case when contains(CAL_TYPE,'_6h') then 6 else 24 end as "hours"
       from ({v.STATIONS})""",
 }

@@ -157,6 +157,13 @@ def test_conflicts(spark):
     assert got == {(11, "shared cell"), (12, "shared cell"), (13, "off grid")}
 
 
+def test_outlet_conflicts(spark):
+    gauges = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (4, 40), (5, 50)], "obsid long, cell long")
+    outlets = spark.createDataFrame([(10, 1), (20, 9), (30, 3), (31, 3), (40, 5), (41, 4)], "cell long, station long")
+    got = {(r.obsid, r.found, r.instead, r.conflict) for r in network.outlet_conflicts(gauges, outlets).collect()}
+    assert got == {(2, 0, 9, "lost"), (3, 2, 3, "found multiple times"), (4, 1, 5, "wrong id")}
+
+
 @pytest.mark.parametrize("tile", [1, 3, 64])
 def test_clip_equals_range_test(spark, tile):
     rng = random.Random(4)
