@@ -27,6 +27,12 @@ def _tiles(low: str, high: str, tile: int) -> Column:
     return F.sequence(F.floor(F.col(low) / tile), F.floor(F.col(high) / tile))
 
 
+def covered_tiles(boxes: DataFrame, tile: int = TILE) -> DataFrame:
+    """A row for each tile that a box touches."""
+    return (boxes.withColumn("tile_x", F.explode(_tiles("x0", "x1", tile)))
+            .withColumn("tile_y", F.explode(_tiles("y0", "y1", tile))))
+
+
 def clip_to_boxes(grid: DataFrame, boxes: DataFrame, tile: int = TILE,
                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Grid rows inside each station's box.
@@ -34,14 +40,12 @@ def clip_to_boxes(grid: DataFrame, boxes: DataFrame, tile: int = TILE,
     Boxes are cut into tiles so the range condition becomes an equality on the tile; the exact
     box test follows inside a tile.
     """
-    covered = (boxes.withColumn("_tx", F.explode(_tiles("x0", "x1", tile)))
-               .withColumn("_ty", F.explode(_tiles("y0", "y1", tile))))
-    placed = (grid.withColumn("_tx", F.floor(F.col("x") / tile))
-              .withColumn("_ty", F.floor(F.col("y") / tile)))
-    return (attach(placed, settle(covered), ["_tx", "_ty"], hot_rows=hot_rows)
+    placed = (grid.withColumn("tile_x", F.floor(F.col("x") / tile))
+              .withColumn("tile_y", F.floor(F.col("y") / tile)))
+    return (attach(placed, settle(covered_tiles(boxes, tile)), ["tile_x", "tile_y"], hot_rows=hot_rows)
             .filter(F.col("x").between(F.col("x0"), F.col("x1"))
                     & F.col("y").between(F.col("y0"), F.col("y1")))
-            .drop("_tx", "_ty", "x0", "x1", "y0", "y1"))
+            .drop("tile_x", "tile_y", "x0", "x1", "y0", "y1"))
 
 
 def mask_values(clipped: DataFrame, masks: DataFrame) -> DataFrame:

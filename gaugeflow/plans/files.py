@@ -14,7 +14,7 @@ from gaugeflow.plans import runs, station_choice, texts, topology, verification
 from gaugeflow.plans import views as v
 from gaugeflow.plans.views import FORCING, day, rounded
 from gaugeflow.session import checkpoint_dir, settle
-from gaugeflow.sources import series, tables
+from gaugeflow.sources import grids, series, tables
 
 RUN = ["obsid", "gen", "run"]
 PARAMS = ["UpperZone", "LowerZone"]
@@ -174,6 +174,38 @@ def stored_statistics(spark, sf_dir):
     return rounded(spark.read.parquet(path), "obsid")
 
 
+# --- grids --------------------------------------------------------------------------------
+
+def _variables(spark, sf_dir) -> DataFrame:
+    """A static variable of parts and two daily ones of their shipments, the part being the cell."""
+    part, lines = v.table(spark, sf_dir, "part"), v.table(spark, sf_dir, "lineitem")
+
+    def place(key: str):
+        return (F.col(key) % 50).alias("x"), F.floor(F.col(key) / 50).alias("y")
+
+    ts = F.col("l_shipdate").cast("timestamp").alias("ts")
+    daily = [lines.select(F.lit(name).alias("var"), *place("l_partkey"), ts, F.col(c).cast("double").alias("value"))
+             for name, c in (("rain", "l_quantity"), ("heat", "l_extendedprice"))]
+    static = part.select(F.lit("elev").alias("var"), *place("p_partkey"), F.lit(None).cast("timestamp").alias("ts"),
+                         F.col("p_retailprice").cast("double").alias("value"))
+    return static.unionByName(daily[0]).unionByName(daily[1])
+
+
+def clipped_variables(spark, sf_dir):
+    """Every variable of a grid folder in the box of every station, by year; the folder holds a backup too."""
+    path, key = _folder(spark), F.col("s_suppkey")
+    grid = _variables(spark, sf_dir)
+    grids.write_grid(grid, path)
+    grids.write_grid(grid.filter("var = 'rain'").withColumn("var", F.lit("rain_bak")), path)
+    x, y = key % 40, F.floor(key / 3)
+    boxes = v.table(spark, sf_dir, "supplier").select(
+        key.alias("obsid"), x.alias("x0"), (x + key % 12).alias("x1"), y.alias("y0"), (y + key % 9).alias("y1"))
+    clipped = grids.clip_grids(spark, path, settle(boxes))
+    return rounded(clipped.groupBy("obsid", "var", F.year("ts").alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("x", "y").alias("n_cells"), F.sum(F.floor("value")).alias("total"),
+        F.min("value").alias("low"), F.max("value").alias("high")), "obsid", "var", "year", "n", "n_cells", "total")
+
+
 # --- completeness -------------------------------------------------------------------------
 
 def _ends(spark, sf_dir) -> DataFrame:
@@ -206,7 +238,7 @@ def incomplete_inflows(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     station_file, best_run_table, param_ranges_file, links_files, run_history_files, scenario_files, best_parameter_files,
     stored_stations, stored_observations, stored_records, stored_runs, stored_runs_log, ranked_export_files, stored_statistics,
-    incomplete_series, complete_series, incomplete_inflows)}
+    clipped_variables, incomplete_series, complete_series, incomplete_inflows)}
 
 
 # --- reference SQL ------------------------------------------------------------------------
@@ -251,6 +283,13 @@ ORACLES = {
                  [("bias", PARAMS[0]), ("spread", PARAMS[1]), *[(c, n) for n, c in tables.OBJECTIVE_COLUMNS.items()],
                   *[(chr(34) + r + chr(34), r) for r in ("corrRank", "saeRank", "KGERank", "paretoRank")]])} from p""",
     "stored_statistics": verification.ORACLES["statistics_by_station"],
+    "clipped_variables": """with c as (select 'elev' var, p_partkey k, null::timestamp ts, p_retailprice::double val from part
+        union all select 'rain', l_partkey, l_shipdate::timestamp, l_quantity::double from lineitem
+        union all select 'heat', l_partkey, l_shipdate::timestamp, l_extendedprice::double from lineitem),
+      b as (select s_suppkey obsid, s_suppkey%40 x0, s_suppkey%40 + s_suppkey%12 x1, s_suppkey//3 y0, s_suppkey//3 + s_suppkey%9 y1 from supplier)
+      select obsid, var, cast(year(ts) as int) "year", count(*) n, count(distinct k) n_cells, cast(sum(floor(val)) as bigint) total,
+        round(min(val),6) low, round(max(val),6) high
+      from c join b on k%50 between x0 and x1 and k//50 between y0 and y1 group by 1, 2, 3""",
     "incomplete_series": f"""with {_ENDS} select obsid, {_stamp('expected_last')}, {_stamp('last_ts')} from e left join l using (obsid)
       where last_ts is distinct from expected_last""",
     "complete_series": f"with {_ENDS} select obsid, n_days from e join l using (obsid) where last_ts=expected_last",
