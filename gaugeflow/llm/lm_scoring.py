@@ -15,15 +15,14 @@ No task holds the models. Documents are written in slices of about ``SLICE_BYTES
 for each of its distinct words and bigrams and sends its own counts along, as sorted 64-bit hashes
 in buckets of the hash; a bucket adds up its hashes over all slices and answers each slice in the
 order of its question. So a word that makes up a third of the corpus is one entry of each slice, and
-the answers are joined with their slice to score it. Two words or bigrams whose hashes are equal
-would count as one.
-
-A positive ``SHARE`` prunes instead: words and bigrams below that share of both corpora are unknown,
-and at most 2 / SHARE entries are broadcast.
+the answers are joined with their slice to score it. Two words
+or bigrams whose hashes are equal would count as one.
 
 Defined cases: a null or empty text has no words and NULL scores; without target documents the
 target counts are zero and its model is uniform; rows that repeat a doc_id are counted and scored
-each; target ids that repeat count once.
+each; target ids that repeat count once. A very long text is a slice of its own and is scored whole.
+A table without rows gives none. Order and ties do not matter, and columns other than the id and the
+text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,8 +40,6 @@ from gaugeflow.functions.skew import attach
 from gaugeflow.llm.common import STEP, hash_words, id_and_text, id_of, key_of, mix, signed, slices
 from gaugeflow.session import settle
 
-SHARE = 0.0  # nothing is pruned
-ORACLE_SHARE = 2e-6  # of the SQL; it prunes nothing below 500,000 words
 SLICE_BYTES = 12_000_000  # text that a task scores at once; one text is never split
 BUCKET_BYTES = 16_000_000  # text of the corpus for each bucket of hashes
 BUCKETS = 256  # at least
@@ -50,130 +47,6 @@ START = np.uint64(0x2545F4914F6CDD1D)  # stands before the first word of a text
 COUNTS = ["b", "t", "end_b", "end_t"]  # in background and target; as the last word of a text
 ADDED = 0.5
 KEPT = 0.7
-BUFFER = 2_000_000  # keys a task holds before it adds them up
-
-
-def _counted(arrays: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-    for keys in arrays:
-        held.append(keys)
-        size += len(keys)
-        if size >= BUFFER:
-            yield _summed(held)
-            held, size = [], 0
-    if size:
-        yield _summed(held)
-
-
-def _summed(held: list[np.ndarray]) -> pa.RecordBatch:
-    keys, n = np.unique(np.concatenate(held), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
-
-
-def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _counted(hash_words(data, offsets, lower=True)[0].view(np.int64) for _, data, offsets in slices(batches))
-
-
-class Vocabulary:
-    """Word ids 1..V by hash, 0 for unknown words and V + 1 for the start of a document."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes)
-
-    def __len__(self) -> int:
-        return len(self.hashes)
-
-    def ids(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(words), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, at + 1, 0)
-
-    def bigrams(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Word ids, and one number for each word and the one before it."""
-        ids = self.ids(words)
-        before = np.concatenate(([0], ids[:-1])) if len(ids) else ids
-        before[first[:-1][np.diff(first) > 0]] = len(self) + 1
-        return ids, before * (len(self) + 2) + ids
-
-
-def _counts(counter, background: DataFrame, target: DataFrame) -> DataFrame:
-    zero = F.lit(0).cast("long")
-    both = (background.mapInArrow(counter, "key long, n long").select("key", F.col("n").alias("b"), zero.alias("t"))
-            .unionByName(target.mapInArrow(counter, "key long, n long").select("key", zero.alias("b"), F.col("n").alias("t"))))
-    return both.groupBy("key").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
-
-
-def _listed(counts: DataFrame, totals: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys with the share and their counts in both corpora; at most 2 / SHARE rows."""
-    kept = counts.filter((F.col("b") >= SHARE * max(totals[0], 1)) | (F.col("t") >= SHARE * max(totals[1], 1)))
-    table = kept.toArrow()
-    keys = table.column("key").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], np.stack([table.column(c).to_numpy()[order] for c in ("b", "t")]).astype(np.float64)
-
-
-def fit(background: DataFrame, target: DataFrame) -> dict:
-    """Arrays of both models from tables with _id and _text (read twice)."""
-    words = settle(_counts(count_words, background, target))
-    sums = words.agg(F.sum("b"), F.sum("t")).first()
-    totals = (sums[0] or 0, sums[1] or 0)
-    hashes, counts = _listed(words, totals)
-    unsigned = hashes.view(np.uint64)
-    order = np.argsort(unsigned)
-    vocabulary = Vocabulary(unsigned[order])
-    counts = counts[:, order]
-    shared = background.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _counted(shared.value.bigrams(*hash_words(data, offsets, lower=True))[1]
-                            for _, data, offsets in slices(batches))
-
-    pairs = settle(_counts(count_bigrams, background, target))
-    codes, joint = _listed(pairs, totals)
-    size = len(vocabulary)
-    heads = pairs.filter((F.col("key") / F.lit(size + 2)).cast("long") == size + 1).agg(F.sum("b"), F.sum("t")).first()
-    model = {"vocabulary": vocabulary, "codes": codes}
-    context = codes // (size + 2)
-    for i, name in enumerate(("background", "target")):
-        unigram = np.concatenate(([totals[i] - counts[i].sum()], counts[i]))
-        single = (unigram + ADDED) / (totals[i] + ADDED * (size + 1))
-        before = np.concatenate((unigram, [heads[i] or 0]))
-        share = np.divide(joint[i], before[context], out=np.zeros(len(codes)), where=before[context] > 0)
-        back = 1 - KEPT * np.bincount(context, share, size + 2)
-        model[name] = (single, KEPT * share, back)
-    return model
-
-
-def score_batch(model: dict, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Words per text, and the mean loss per word of each text in background and target."""
-    vocabulary, codes = model["vocabulary"], model["codes"]
-    words, first = hash_words(data, offsets, lower=True)
-    n = np.diff(first)
-    ids, seen = vocabulary.bigrams(words, first)
-    context = seen // (len(vocabulary) + 2)
-    at = np.minimum(np.searchsorted(codes, seen), max(len(codes) - 1, 0))
-    known = codes[at] == seen if len(codes) else np.zeros(len(seen), bool)
-    out = []
-    for name in ("background", "target"):
-        single, joint, back = model[name]
-        p = back[context] * single[ids]
-        p[known] += joint[at[known]]
-        total = np.concatenate(([0.0], np.cumsum(-np.log2(p))))
-        out.append(np.divide(total[first[1:]] - total[first[:-1]], n, out=np.full(len(n), np.nan), where=n > 0))
-    return n, out
-
-
-def _score_listed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    target = settle(texts.join(wanted.hint("merge"), "_id", "left_semi").select("_id", "_text"))
-    model = texts.sparkSession.sparkContext.broadcast(fit(texts, target))
-
-    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in slices(batches):
-            n, (b, t) = score_batch(model.value, data, offsets)
-            yield _scores_of(batch.column(0), n, b, t)
-
-    return texts.mapInArrow(losses, SCORES)
 
 
 def _numbered(slice_bytes: int):
@@ -380,8 +253,7 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
     """Per row: its id, n_words, ce_target, ce_background, ce_diff. ``target_ids`` has the id column."""
     texts = id_and_text(docs, id_col, text_col)
     wanted = target_ids.filter(F.col(id_col).isNotNull()).select(key_of(id_col).alias("_id")).distinct()
-    out = _score_listed(texts, wanted) if SHARE else _score_all(texts, wanted, slice_bytes, buckets)
-    return out.select(id_of("_id").alias(id_col), "n_words", "ce_target", "ce_background", "ce_diff")
+    return _score_all(texts, wanted, slice_bytes, buckets).select(id_of("_id").alias(id_col), "n_words", "ce_target", "ce_background", "ce_diff")
 
 
 def op1_lm_scoring(spark, sf_dir: str) -> DataFrame:
@@ -401,16 +273,11 @@ flagged as (select words.*, doc_id in (select doc_id from labels where quality =
 totals as (select count(*) nb, count(*) filter (is_target) nt,
            count(*) filter (p = 1) hb, count(*) filter (p = 1 and is_target) ht from flagged),
 counts as (select w, count(*) cb, count(*) filter (is_target) ct from flagged group by w),
-vocab as (select w, cb, ct from counts, totals where cb >= {ORACLE_SHARE} * nb or ct >= {ORACLE_SHARE} * greatest(nt, 1)),
-size as (select count(*) v, sum(cb) vb, sum(ct) vt from vocab),
-ids as (select f.row, f.doc_id, f.p, f.is_target, coalesce(vocab.w, '\\n') w from flagged f left join vocab using (w)),
-pairs as (select *, coalesce(lag(w) over (partition by row order by p), ' ') h from ids),
-joint as (select h, w, count(*) cb, count(*) filter (is_target) ct from pairs group by 1, 2),
-listed as (select joint.* from joint, totals where cb >= {ORACLE_SHARE} * nb or ct >= {ORACLE_SHARE} * greatest(nt, 1)),
-single as (select w, (cb + {ADDED}) / (nb + {ADDED} * (v + 1)) pb, (ct + {ADDED}) / (nt + {ADDED} * (v + 1)) pt
-           from (select w, cb, ct from vocab union all select '\\n', nb - vb, nt - vt from totals, size), totals, size),
-before as (select w h, cb, ct from vocab union all select '\\n', nb - vb, nt - vt from totals, size
-           union all select ' ', hb, ht from totals),
+size as (select count(*) v from counts),
+pairs as (select *, coalesce(lag(w) over (partition by row order by p), ' ') h from flagged),
+listed as (select h, w, count(*) cb, count(*) filter (is_target) ct from pairs group by 1, 2),
+single as (select w, (cb + {ADDED}) / (nb + {ADDED} * (v + 1)) pb, (ct + {ADDED}) / (nt + {ADDED} * (v + 1)) pt from counts, totals, size),
+before as (select w h, cb, ct from counts union all select ' ', hb, ht from totals),
 shares as (select l.h, l.w, {KEPT} * coalesce(l.cb / nullif(b.cb, 0), 0) sb, {KEPT} * coalesce(l.ct / nullif(b.ct, 0), 0) st
            from listed l join before b using (h)),
 back as (select h, 1 - sum(sb) kb, 1 - sum(st) kt from shares group by h),

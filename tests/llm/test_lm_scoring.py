@@ -2,7 +2,7 @@ import math
 import random
 from collections import Counter
 
-import duckdb
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
@@ -23,20 +23,6 @@ def test_matches_sql(spark):
     assert compare.run_pair(spark, compare.connect(sf), QUERIES[name], ORACLES[name], sf) is None
 
 
-def test_words_under_the_share_are_unknown(spark, monkeypatch):
-    monkeypatch.setattr(op, "SHARE", .05)
-    rows = [(i, f"the cat sat on the mat number{i}") for i in range(30)] + [(99, "the dog")]
-    df = frame(spark, rows)
-    con = duckdb.connect()
-    docs = df.toPandas()  # noqa: F841
-    con.execute("create view documents as select * from docs")
-    con.execute("create view labels as select doc_id, 1 quality from documents where doc_id < 10")
-    expected = sorted(con.execute(op.ORACLE.replace(str(2e-6), "0.05")).fetchall())
-    got = sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r)
-                 for r in op.score(df, df.filter("doc_id < 10").select("doc_id")).collect())
-    assert len(got) == len(expected) and all(a == pytest.approx(b) for a, b in zip(got, expected))
-
-
 def test_nulls_empty_and_no_target(spark):
     rows = [(1, None), (2, " \n"), (None, "a b"), (3, "A b"), (3, "A b"), (4, "z " * 20000)]
     df = frame(spark, rows).selectExpr("*", "3 as _id", "'x' as key", "1 as n")
@@ -45,16 +31,33 @@ def test_nulls_empty_and_no_target(spark):
     assert op.score(frame(spark, []), df.select("doc_id")).collect() == []
 
 
-def test_probabilities_sum_to_one(spark):
-    texts = op.id_and_text(frame(spark, [(1, "a b a c a b"), (2, "b c b")]))
-    model = op.fit(texts, texts.filter("_id = 1"))
-    size = len(model["vocabulary"])
-    for name in ("background", "target"):
-        single, joint, back = model[name]
-        assert abs(single.sum() - 1) < 1e-9
-        for h in range(size + 2):
-            listed = joint[model["codes"] // (size + 2) == h].sum()
-            assert abs(listed + back[h] * single.sum() - 1) < 1e-9
+def test_probabilities_sum_to_one():
+    texts, target = ["a b a c a b", "b c b"], {0}
+    words = [t.split() for t in texts]
+    known = sorted({w for ws in words for w in ws})
+
+    def losses(text, i):
+        w = text.split()
+        hashes, first = op.hash_words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), lower=True)
+        pairs = op._bigrams(hashes, first)
+        some = [ws for n, ws in enumerate(words) if i == 0 or n in target]
+        two = Counter(p for ws in some for p in zip(["", *ws], ws))
+
+        def ordered(keys, counts):
+            return np.array([c for _, c in sorted(dict(zip(keys.tolist(), counts)).items())])
+
+        one = ordered(hashes, [sum(ws.count(x) for ws in some) for x in w])
+        end = ordered(hashes, [sum(ws[-1] == x for ws in some) for x in w])
+        joint = ordered(pairs, [two[p] for p in zip(["", *w], w)])
+        total = sum(map(len, some))
+        answers = {0: [one, one, end, end], 1: [joint, joint]}
+        return op._losses(hashes, first, answers, len(known), (total, total), (len(some), len(some)))[i][0] * len(w)
+
+    for i in (0, 1):
+        starts = [2 ** -losses(w, i) for w in (*known, "unseen")]
+        assert sum(starts) == pytest.approx(1)
+        for h, start in zip(known, starts):
+            assert sum(2 ** -losses(f"{h} {w}", i) / start for w in (*known, "unseen")) == pytest.approx(1)
 
 
 def plain_scores(rows, wanted):
