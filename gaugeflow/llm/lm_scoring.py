@@ -15,7 +15,7 @@ No task holds the models. Documents are written in slices of about ``SLICE_BYTES
 for each of its distinct words and bigrams and sends its own counts along, as sorted 64-bit hashes
 in buckets of the hash; a bucket adds up its hashes over all slices and answers each slice in the
 order of its question. So a word that makes up a third of the corpus is one entry of each slice, and
-the answers are joined with their slice to score it. Two words
+the answers are joined with their slice to score it. Hashes travel as the gaps between them. Two words
 or bigrams whose hashes are equal would count as one.
 
 Defined cases: a null or empty text has no words and NULL scores; without target documents the
@@ -86,6 +86,30 @@ def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
         None, pa.py_buffer((bounds * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
 
+def _widths(largest: np.ndarray) -> np.ndarray:
+    """Bytes that hold each number."""
+    return 1 + sum((largest >= np.uint64(1 << (8 * k))).astype(np.int64) for k in range(1, 8))
+
+
+def _gaps(keys: np.ndarray, starts: np.ndarray, lowest: np.ndarray) -> pa.Array:
+    """Sorted keys between starts as gaps, the first from the lowest key of its bucket, in as many bytes as the widest needs."""
+    gaps = np.diff(keys, prepend=keys[:1])
+    gaps[starts] = keys[starts] - lowest
+    widths, sizes = _widths(np.maximum.reduceat(gaps, starts)), np.diff(np.append(starts, len(keys)))
+    held = gaps.view(np.uint8).reshape(-1, 8)[np.arange(8) < np.repeat(widths, sizes)[:, None]]
+    return _binaries(held, np.concatenate(([0], np.cumsum(widths * sizes))))
+
+
+def _ungapped(binaries: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Keys above the lowest of their bucket."""
+    widths = np.array([len(x) for x in binaries]) // sizes
+    gaps = np.zeros((sizes.sum(), 8), np.uint8)
+    gaps[np.arange(8) < np.repeat(widths, sizes)[:, None]] = np.frombuffer(b"".join(binaries), np.uint8)
+    gaps = gaps.view(np.uint64).ravel()
+    sums, starts = np.cumsum(gaps), np.cumsum(sizes) - sizes
+    return sums - np.repeat(sums[starts] - gaps[starts], sizes)  # modulo 2^64
+
+
 def _packed(counts: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Counts between bounds as binaries: a byte each, and behind them those of 255 and more."""
     small, large = np.minimum(counts, 255).astype(np.uint8), counts.astype(np.int64)
@@ -116,10 +140,11 @@ def _asked(kind: int, number: int, place: int, keys: np.ndarray, counts: list[np
     of = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     asked, starts = np.unique(of, return_index=True)
     bounds = np.concatenate((starts, [len(keys)]))
+    lowest = ((asked << np.uint64(32)) + np.uint64(buckets - 1)) // np.uint64(buckets) << np.uint64(32)
     n = len(asked)
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(n, kind, np.int32)), signed(asked), pa.array(np.full(n, number, np.int64)), pa.array(np.full(n, place, np.int64)),
-         pa.array(np.diff(bounds)), _binaries(keys, bounds), *[_packed(c, bounds) for c in counts],
+         pa.array(np.diff(bounds)), _gaps(keys, starts, lowest), *[_packed(c, bounds) for c in counts],
          *[pa.nulls(n, pa.binary())] * (4 - len(counts))], names=_names(QUESTION))
 
 
@@ -159,7 +184,7 @@ def _answered(asked: pa.Table) -> pa.Table:
     """A bucket's answers, the counts of all slices, and one row of its totals without a slice."""
     sizes = asked.column("size").to_numpy()
     bounds = np.concatenate(([0], np.cumsum(sizes)))
-    keys, at = np.unique(np.frombuffer(b"".join(asked.column("keys").to_pylist()), np.uint64), return_inverse=True)
+    keys, at = np.unique(_ungapped(asked.column("keys").to_pylist(), sizes), return_inverse=True)
     n, found, totals = len(sizes), [], []
     for name in COUNTS:
         if asked.column(name).null_count:  # bigrams don't end texts

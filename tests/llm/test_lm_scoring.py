@@ -60,6 +60,18 @@ def test_probabilities_sum_to_one():
             assert sum(2 ** -losses(f"{h} {w}", i) / start for w in (*known, "unseen")) == pytest.approx(1)
 
 
+def test_gaps_hold_every_key():
+    r = np.random.default_rng(5)
+    for n, buckets in ((1, 1), (1000, 7), (1_000_000, 256), (300, 4096)):
+        keys = np.unique(np.concatenate((r.integers(0, 2 ** 64, n, np.uint64), np.array([0, 1, 2 ** 64 - 1], np.uint64))))
+        asked = op._asked(0, 1, 0, keys, [np.ones(len(keys), np.int64)] * 4, buckets)
+        sizes = asked.column("size").to_numpy()
+        above = op._ungapped(asked.column("keys").to_pylist(), sizes)
+        lowest = np.array([-(-(b << 32) // buckets) << 32 for b in asked.column("bucket").to_pylist()], np.uint64)
+        assert (above + np.repeat(lowest, sizes) == keys).all()
+        assert n < 1_000_000 or asked.column("keys").nbytes < 6.2 * len(keys)
+
+
 def plain_scores(rows, wanted):
     """Plain version: every word and bigram counts."""
     texts = [(i, (t or "").lower().split()) for i, t in rows]
