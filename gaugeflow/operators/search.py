@@ -162,9 +162,12 @@ def stateful_simulator(step: Callable, forcing: DataFrame, cells: int = CELLS) -
     one row each; the first state is 0) and sees the ``forcing`` (obsid, ts, forcing) of a station
     in the order of time. Steps can't be split, so individuals are: those of a station are dealt to
     as many blocks as keep ``cells`` simulated values a block, and its forcing is copied for each.
-    A NULL forcing counts as 0; a station without forcing simulates nothing.
+    A NULL forcing counts as 0; a station without forcing simulates nothing. Observations ``o`` in
+    ``forcing`` come out with every simulated step, so that ``series_model`` needs no join with them.
     """
-    made = pa.schema([("obsid", pa.int64()), ("run", pa.int32()), ("ts", pa.timestamp("us", "UTC")), ("s", pa.float64())])
+    carried = ["o"] if "o" in forcing.columns else []
+    made = pa.schema([("obsid", pa.int64()), ("run", pa.int32()), ("ts", pa.timestamp("us", "UTC")), ("s", pa.float64()),
+                      *[(c, pa.float64()) for c in carried]])
 
     def run(individuals: pa.Table, values: pa.Table) -> pa.Table:
         if not individuals.num_rows or not values.num_rows:  # a block that no individual was dealt to
@@ -176,12 +179,14 @@ def stateful_simulator(step: Callable, forcing: DataFrame, cells: int = CELLS) -
         state, out = np.zeros(len(runs)), np.empty((len(put_in), len(runs)))
         for t, value in enumerate(put_in):
             state, out[t] = step(state, value, params)
-        stamps = pc.take(steps.column("ts").combine_chunks(), pa.array(np.repeat(np.arange(len(put_in)), len(runs))))
+        each = pa.array(np.repeat(np.arange(len(put_in)), len(runs)))
+        stamps, *beside = (pc.take(steps.column(c).combine_chunks(), each) for c in ("ts", *carried))
         owner = np.full(out.size, individuals.column("obsid")[0].as_py())
-        return pa.Table.from_arrays([pa.array(owner), pa.array(np.tile(runs, len(put_in)), pa.int32()), stamps, pa.array(out.ravel())], schema=made)
+        return pa.Table.from_arrays([pa.array(owner), pa.array(np.tile(runs, len(put_in)), pa.int32()), stamps, pa.array(out.ravel()), *beside], schema=made)
 
     def simulate(individuals: DataFrame) -> DataFrame:
-        steps = forcing.select(F.col("obsid").cast("long").alias("obsid"), "ts", F.col("forcing").cast("double").alias("forcing"))
+        steps = forcing.select(F.col("obsid").cast("long").alias("obsid"), "ts", F.col("forcing").cast("double").alias("forcing"),
+                               *[F.col(c).cast("double").alias(c) for c in carried])
         lengths = steps.groupBy("obsid").agg(F.count(F.lit(1)).alias("_steps"))
         sizes = individuals.groupBy(F.col("obsid").cast("long").alias("obsid")).agg(F.count(F.lit(1)).alias("_runs"))
         blocks = settle(lengths.join(sizes, "obsid").select(
@@ -190,7 +195,8 @@ def stateful_simulator(step: Callable, forcing: DataFrame, cells: int = CELLS) -
         dealt = attach(people, blocks, ["obsid"]).withColumn("_block", F.pmod(F.xxhash64("run"), F.col("_blocks")).cast("int")).drop("_blocks")
         copies = attach(steps, blocks, ["obsid"]).withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
         keys = ["obsid", "_block"]
-        return dealt.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(run, "obsid long, run int, ts timestamp, s double")
+        return dealt.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(
+            run, ", ".join(["obsid long, run int, ts timestamp, s double", *[f"{c} double" for c in carried]]))
 
     return simulate
 

@@ -113,9 +113,10 @@ def reservoir(stored, forcing, params):
 def reservoir_evaluation(spark, sf_dir):
     """Objectives of the first population with a model that remembers its state."""
     ranges, people = _first(spark, sf_dir)
-    pairs = settle(v.pairs_daily(spark, sf_dir))
-    simulate = search.stateful_simulator(reservoir, pairs.select("obsid", "ts", F.col("s").alias("forcing")))
-    runs = search.evaluate(people, ranges, search.series_model(simulate, pairs.select("obsid", "ts", "o")))
+    # a step without a time pairs with no observation; being the last, it moves no other
+    pairs = settle(v.pairs_daily(spark, sf_dir).filter("ts IS NOT NULL").withColumnRenamed("s", "forcing"))
+    simulate = search.stateful_simulator(reservoir, pairs)
+    runs = search.evaluate(people, ranges, search.series_model(simulate))
     return rounded(runs.select("obsid", "run", "kge", "corr", "bias", "spread", "sae"), "obsid", "run")
 
 

@@ -187,6 +187,26 @@ def test_stateful_simulator_equals_a_loop(spark, cells):
     assert got == want and len(got) == 2 * 5 * 9
 
 
+@pytest.mark.parametrize("cells", [10**6, 7])
+def test_observations_travel_with_the_forcing(spark, cells):
+    """Same scores as a join of the simulated steps with the observations, without moving them again."""
+    times = [datetime(2000, 1, 1) + timedelta(days=i) for i in range(9)]
+    rows = [(s, t, float(s * 10 + i * i), None if i == 4 else float(s * 8 + i * (9 - i))) for s in (1, 2) for i, t in enumerate(times)]
+    pairs = spark.createDataFrame(rows[::-1], "obsid long, ts timestamp, forcing double, o double")
+    people = spark.createDataFrame([(s, r, [0.1 * r, 2.0 + s]) for s in (1, 2, 3) for r in range(1, 6)], "obsid long, run int, params array<double>")
+
+    def step(state, value, params):
+        state = state * params[:, 0] + value
+        return state, state * params[:, 1]
+
+    alone = search.stateful_simulator(step, pairs.drop("o"), cells)
+    want = search.series_model(alone, pairs.select("obsid", "ts", "o"))(people)
+    got = search.series_model(search.stateful_simulator(step, pairs, cells))(people)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 10
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan[:plan.index("FlatMapCoGroups")]
+
+
 def test_a_generation_without_commit_is_not_read(spark, tmp_path):
     table = search.HistoryTable(spark, str(tmp_path / "runs"))
     assert not table.exists()
