@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +35,8 @@ from gaugeflow.llm.common import id_and_text, id_of, mix, run_hashes, slices
 MARK = "▁"
 DROPOUT = 0.1
 LONGEST = 64  # characters of a chunk that still runs in step
-SLOTS = 1 << 20
-ROWS = 1 << 16  # agendas in step at once
-DRAWS = 1 << 21  # candidates drawn at once
+ROWS = 1 << 14  # agendas in step at once
+DRAWS = 1 << 16  # candidates drawn at once
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 PLACE = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
@@ -55,7 +55,7 @@ class Model:
                for i, n in enumerate(names)]
         if any(MARK in n.lstrip(MARK) for n in normal):
             raise ValueError("a piece goes on past a space")
-        self.scores = np.array([sp.get_score(i) for i in range(self.size)], np.float64)
+        self.scores = np.array([sp.get_score(i) for i in range(self.size)] + [-np.inf], np.float32)  # the last one is that of no piece
         self.blob = np.frombuffer(b"".join(raw), np.uint8)
         self.ends = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
         self.byte_ids = np.zeros(256, np.int32)
@@ -78,31 +78,34 @@ class Model:
             for k in range(1, len(n)):
                 if n[:k] in normal and n[k:] in normal:
                     merges[normal[n[:k]] * self.size + normal[n[k:]]] = i
-        self.keys, self.merged, self.probes = _placed(np.array(list(merges), np.int64), np.array(list(merges.values()), np.int32))
+        self.keys, self.merged = _placed(np.array(list(merges), np.int64), np.array(list(merges.values()), np.int32))
 
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Piece that two pieces make, or -1."""
         key = left.astype(np.int64) * self.size + right
         key[(left < 0) | (right < 0)] = -2
-        slot = _slot(key)
         out = np.full(key.shape, -1, np.int32)
-        for i in range(self.probes):
-            at = (slot + i) & (SLOTS - 1)
-            same = self.keys[at] == key
-            out[same] = self.merged[at[same]]
+        at, slot = np.arange(len(key)), _slot(key, len(self.keys))
+        while len(at):
+            found = self.keys[slot]
+            same = found == key
+            out[at[same]] = self.merged[slot[same]]
+            more = np.flatnonzero(~same & (found != -1))  # a free slot ends a search
+            at, key, slot = at[more], key[more], (slot[more] + 1) & (len(self.keys) - 1)
         return out
 
 
-def _slot(key: np.ndarray) -> np.ndarray:
-    return ((key.astype(np.uint64) * SPREAD) >> np.uint64(44)).astype(np.int64)
+def _slot(key: np.ndarray, slots: int) -> np.ndarray:
+    return ((key.astype(np.uint64) * SPREAD) >> np.uint64(65 - slots.bit_length())).astype(np.int64)
 
 
-def _placed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Open-addressed table of merges and the most probes that a key needs."""
-    table, held, rounds = np.full(SLOTS, -1, np.int64), np.full(SLOTS, -1, np.int32), 0
-    left, home = np.arange(len(keys)), _slot(keys)
+def _placed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Open-addressed table of merges; at least three in four of its slots are free."""
+    slots, rounds = 1 << (4 * len(keys) + 1).bit_length(), 0
+    table, held = np.full(slots, -1, np.int64), np.full(slots, -1, np.int32)
+    left, home = np.arange(len(keys)), _slot(keys, slots)
     while len(left):
-        at = (home[left] + rounds) & (SLOTS - 1)
+        at = (home[left] + rounds) & (slots - 1)
         free = table[at] == -1
         _, first = np.unique(at, return_index=True)
         lead = np.zeros(len(at), bool)
@@ -110,7 +113,11 @@ def _placed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
         put = free & lead
         table[at[put]], held[at[put]] = keys[left[put]], values[left[put]]
         left, rounds = left[~put], rounds + 1
-    return table, held, max(rounds, 1)
+    return table, held
+
+
+def _place(start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return sum(x.astype(np.uint64) * m for x, m in zip((start, middle, end), PLACE))
 
 
 class Encoder:
@@ -118,8 +125,10 @@ class Encoder:
         self.model, self.seed, self.dropout = model, seed, dropout
 
     def _skipped(self, key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
-        place = sum(x.astype(np.uint64) * m for x, m in zip((start, middle, end), PLACE))
-        return (mix(key ^ place) >> np.uint64(11)).astype(np.float64) < self.dropout * 2.0 ** 53
+        return self._below(key ^ _place(start, middle, end))
+
+    def _below(self, drawn: np.ndarray) -> np.ndarray:
+        return mix(drawn) >> np.uint64(11) < np.uint64(math.ceil(self.dropout * 2.0 ** 53))
 
     def _candidates(self, key, left, right, start, middle, end) -> tuple[np.ndarray, np.ndarray]:
         """Merged piece and score of pairs; -1 and -inf where there is none or it is skipped."""
@@ -127,48 +136,53 @@ class Encoder:
         if self.dropout:
             found = np.flatnonzero(piece >= 0)
             piece[found[self._skipped(key[found], start[found], middle[found], end[found])]] = -1
-        return piece, np.where(piece >= 0, self.model.scores[piece], -np.inf)
+        return piece, self.model.scores[piece]
 
     def _in_step(self, pieces: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Agendas of chunks of similar length: rows of pieces, -1 behind the end. Pieces and their number."""
+        """Agendas of chunks of similar length: rows of pieces, -1 behind the end. Pieces and their number.
+
+        A piece stays where its first character is and knows where the next and the last one begin,
+        so a merge touches a few cells of its row.
+        """
         rows, width = pieces.shape
-        result, n_out = pieces.copy(), lengths.copy()
-        bounds = np.minimum(np.arange(width + 1)[None, :], lengths[:, None])
-        wide = np.repeat(keys, width - 1)
-        piece, score = self._candidates(wide, pieces[:, :-1].ravel(), pieces[:, 1:].ravel(), bounds[:, :-2].ravel(),
-                                        bounds[:, 1:-1].ravel(), bounds[:, 2:].ravel())
-        piece, score = piece.reshape(rows, -1), score.reshape(rows, -1)
-        where, n = np.arange(rows), lengths.copy()
-        columns = np.arange(width + 1)
-        while len(where):
-            best = np.argmax(score, axis=1)
-            line = np.arange(len(where))
-            alive = score[line, best] > -np.inf
+        column = np.arange(width, dtype=np.int32)
+        held, last = pieces.ravel().copy(), lengths.astype(np.int32)
+        after, before = np.tile(column + 1, rows), np.tile(column - 1, rows)
+        merged, score = np.full(rows * width, -1, np.int32), np.full((rows, width), -np.inf, np.float32)
+        flat = score.ravel()
+        lost = np.zeros(rows * width, bool)
+
+        def offer(row: np.ndarray, left: np.ndarray, middle: np.ndarray, end: np.ndarray) -> None:
+            at = row * width
+            a = at + left
+            merged[a], flat[a] = self._candidates(keys[row], held[a], held[at + middle], left, middle, end)
+
+        row, left = np.nonzero(column + 1 < last[:, None])
+        left = left.astype(np.int32)
+        offer(row, left, left + 1, left + 2)
+        row = np.arange(rows)
+        while len(row):
+            left = (score if len(row) == rows else score.take(row, axis=0)).argmax(axis=1).astype(np.int32)
+            a = row * width + left
+            alive = flat[a] > -np.inf
             if not alive.all():
-                done = ~alive
-                result[where[done]], n_out[where[done]] = pieces[done], n[done]
-                pieces, bounds, piece, score, where, n, best, keys = (x[alive] for x in (pieces, bounds, piece, score, where, n, best, keys))
-                line = np.arange(len(where))
-                if not len(where):
-                    break
-            new = piece[line, best]
-            drop = columns[None, :] > best[:, None]
-            source = np.minimum(columns[None, :] + drop, width)
-            pieces = np.take_along_axis(np.concatenate((pieces, np.full((len(where), 1), -1, pieces.dtype)), 1), source[:, :width], 1)
-            pieces[line, best] = new
-            bounds = np.take_along_axis(bounds, source, 1)
-            shift = np.minimum(columns[None, :width - 1] + (columns[None, :width - 1] >= best[:, None]), width - 1)
-            piece = np.take_along_axis(np.concatenate((piece, np.full((len(where), 1), -1, piece.dtype)), 1), shift, 1)
-            score = np.take_along_axis(np.concatenate((score, np.full((len(where), 1), -np.inf)), 1), shift, 1)
-            n = n - 1
-            for at, ok in ((best - 1, best > 0), (best, best + 1 < n)):
-                row, col = line[ok], at[ok]
-                p, s = self._candidates(keys[row], pieces[row, col], pieces[row, col + 1], bounds[row, col], bounds[row, col + 1], bounds[row, col + 2])
-                piece[row, col], score[row, col] = p, s
-            last = ~(best + 1 < n)
-            keep = last & (best < width - 1)
-            piece[line[keep], best[keep]], score[line[keep], best[keep]] = -1, -np.inf
-        return result, n_out
+                row, left, a = row[alive], left[alive], a[alive]
+            start = a - left
+            b = start + after[a]
+            end = after[b]
+            held[a], after[a] = merged[a], end
+            lost[b], flat[b], flat[a] = True, -np.inf, -np.inf
+            on = np.flatnonzero(end < last[row])
+            e = start[on] + end[on]
+            before[e] = left[on]
+            offer(row[on], left[on], end[on], after[e])
+            on = np.flatnonzero(left)
+            offer(row[on], before[a[on]], left[on], end[on])
+        left_over = (column < last[:, None]) & ~lost.reshape(rows, width)
+        n = left_over.sum(axis=1)
+        result = np.full((rows, width), -1, pieces.dtype)
+        result[column < n[:, None]] = held[left_over.ravel()]
+        return result, n
 
     def _by_heap(self, pieces: np.ndarray, key: np.uint64) -> np.ndarray:
         """The same agenda for one long chunk: each merge costs the logarithm of its length."""
@@ -227,8 +241,8 @@ class Encoder:
     def _drawn(self, of: np.ndarray, keys: np.ndarray, offered: list[np.ndarray]) -> np.ndarray:
         """Occurrences (chunk, key) that skip a candidate which their chunk offers without dropout."""
         chunk, *places = offered
-        order = np.argsort(chunk, kind="stable")
-        places = [x[order] for x in places]
+        order = np.argsort(chunk)
+        places = _place(*places)[order] if len(chunk) else np.zeros(0, np.uint64)
         ends = np.searchsorted(chunk[order], np.arange(int(of.max()) + 1), side="right") if len(of) else np.zeros(0, np.int64)
         begins = np.concatenate(([0], ends[:-1]))
         n = (ends - begins)[of]
@@ -238,9 +252,9 @@ class Encoder:
             done = upto[first - 1] if first else 0
             last = max(int(np.searchsorted(upto, done + DRAWS, side="right")), first + 1)
             k = n[first:last]
-            who = np.repeat(np.arange(first, last), k)
-            at = np.arange(len(who)) - np.repeat(np.cumsum(k) - k, k) + begins[of[who]]
-            own[who[self._skipped(keys[who], *[x[at] for x in places])]] = True
+            at = np.arange(k.sum()) + np.repeat(begins[of[first:last]] + done + k - upto[first:last], k)
+            skipped = np.flatnonzero(self._below(np.repeat(keys[first:last], k) ^ places[at]))
+            own[np.searchsorted(upto, done + skipped, side="right")] = True
             first = last
         return np.flatnonzero(own)
 

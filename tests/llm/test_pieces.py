@@ -98,3 +98,37 @@ def test_sharing_changes_nothing(model, monkeypatch):
     assert whole(encoder, texts) == shared
     monkeypatch.setattr(op.Encoder, "_drawn", lambda self, of, keys, offered: np.flatnonzero(np.isin(of, offered[0])))
     assert whole(encoder, texts) == shared
+
+
+def plain_agenda(encoder, pieces, key):
+    """Best-scored pair first, leftmost of equals, every pair looked up anew; pieces and the distinct pairs that arose."""
+    row, arose = [(i, int(x)) for i, x in enumerate(pieces)], set()
+    while True:
+        best = None
+        for i in range(len(row) - 1):
+            end = row[i + 2][0] if i + 2 < len(row) else len(pieces)
+            place = [np.array([x]) for x in (row[i][0], row[i + 1][0], end)]
+            arose.add(tuple(int(x[0]) for x in place))
+            piece = int(encoder.model.pair(np.array([row[i][1]]), np.array([row[i + 1][1]]))[0])
+            if piece >= 0 and not encoder._skipped(np.array([key]), *place)[0] and (best is None or encoder.model.scores[piece] > best[0]):
+                best = encoder.model.scores[piece], i, piece
+        if best is None:
+            return [x for _, x in row], len(arose)
+        _, i, piece = best
+        row[i:i + 2] = [(row[i][0], piece)]
+
+
+def test_steps_follow_the_plain_agenda_and_look_up_no_pair_twice(model, monkeypatch):
+    encoder = op.Encoder(model, seed=1, dropout=.2)
+    words = [" of", " the", "aa", " internationalization", " banana", "aaaaaaaaaa", " un", " word", " tokenizing"] * 3
+    rows = [model.char_ids[[ord(c) for c in w]] for w in words]
+    keys = np.arange(len(words), dtype=np.uint64)
+    want = [plain_agenda(encoder, p, k) for p, k in zip(rows, keys)]
+    asked, pair = [], op.Model.pair
+    monkeypatch.setattr(op.Model, "pair", lambda self, left, right: asked.append(len(left)) or pair(self, left, right))
+    width = max(map(len, rows))
+    padded = np.array([np.pad(p, (0, width - len(p)), constant_values=-1) for p in rows])
+    got, n = encoder._in_step(padded, np.array([len(p) for p in rows]), keys)
+    assert [g[:k].tolist() for g, k in zip(got, n)] == [w for w, _ in want]
+    assert all((g[k:] == -1).all() for g, k in zip(got, n))
+    assert sum(asked) <= sum(k for _, k in want)
